@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ._spark import read
 from .bpe_trie import encode_documents
+from .decontaminate import find_benchmark
 from .token_counts import count_tokens
 
 
@@ -22,9 +23,33 @@ def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="digests")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_benchmark(docs, read(spark, sf_dir, "benchmark"), width=10).drop("items")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op7_bpe_trie": op7_bpe_trie,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+#: A-Z lowered and nothing else; words of letters, digits and non-ASCII characters.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op9_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     b AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
+     p AS (SELECT item_id, len(list_slice(w, k, k + 9)) AS n, array_to_string(list_slice(w, k, k + 9), ' ') AS s
+           FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM b WHERE len(w) > 0)),
+     sizes AS (SELECT DISTINCT n FROM p),
+     x AS (SELECT doc_id, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS s
+           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+     hits AS (SELECT x.doc_id, x.k, x.n, p.item_id FROM x JOIN p ON x.s = p.s AND x.n = p.n),
+     marked AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM hits) GROUP BY 1),
+     named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(named.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
