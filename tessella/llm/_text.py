@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -35,7 +36,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int)
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
+        size = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
         total = np.cumsum(size)
         start = 0
         while start < batch.num_rows:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +140,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, text_co
         own = counter(tokenizer_path)
         for batch in text_batches(batches, text_col, batch_bytes):
             texts = batch.column(text_col).fill_null("")
-            yield batch, [pa.compute.binary_length(texts.cast(pa.large_binary())).cast(pa.int64()), pa.array(own.counts(texts.to_pylist()), pa.int64())]
+            yield batch, [pc.binary_length(texts.cast(pa.large_binary())).cast(pa.int64()), pa.array(own.counts(texts.to_pylist()), pa.int64())]
 
     return map_texts(docs, text_col, count, "n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
