@@ -49,3 +49,15 @@ def crc_mod(column: str, n: int):
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def class_sample(df: DataFrame, id_col: str, class_col: str, limit: int, salt: int = 0) -> DataFrame:
+    """About `limit` rows of each class, by a hash of the id: the bound does not grow with the table.
+
+    The same rows at every run. A class of fewer rows is taken whole.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(class_col).count().collect()}
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col(class_col).eqNullSafe(F.lit(value)), F.lit(min(1.0, limit / n))).otherwise(share)
+    return df.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(1 << 20)) < share * (1 << 20))

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ._spark import read
+from . import lang_id, toxicity_crf
+from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
 from .token_counts import count_tokens
@@ -18,6 +20,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod("doc_id", 5) == 0
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    out = toxicity_crf.score_documents(docs, toxicity_crf.fit(docs, labels))
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"), "spans")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = lang_id.fit(docs.filter(~held_out))
+    return lang_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="digests")
@@ -30,6 +47,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
+    "op5_language": op5_language,
     "op7_bpe_trie": op7_bpe_trie,
     "op9_decontaminate": op9_decontaminate,
 }
