@@ -12,6 +12,7 @@ from . import lang_id, toxicity_crf
 from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
+from .minhash_forest import link_documents
 from .token_counts import count_tokens
 
 
@@ -45,16 +46,22 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark(docs, read(spark, sf_dir, "benchmark"), width=10).drop("items")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op7_bpe_trie": op7_bpe_trie,
     "op9_decontaminate": op9_decontaminate,
+    "op10_minhash": op10_minhash,
 }
 
 #: A-Z lowered and nothing else; words of letters, digits and non-ASCII characters.
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
     "op9_decontaminate": f"""
@@ -71,4 +78,14 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(named.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op10_minhash": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 4), ' ') AS g
+           FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM d WHERE len(w) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+     c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+     e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+     r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.y AS component_id, d.doc_id = m.y AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS y FROM r GROUP BY 1) m ON m.x = d.doc_id""",
 }
