@@ -13,6 +13,7 @@ from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
 from .minhash_forest import link_documents
+from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 
 
@@ -41,6 +42,10 @@ def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="digests")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return find_benchmark(docs, read(spark, sf_dir, "benchmark"), width=10).drop("items")
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op7_bpe_trie": op7_bpe_trie,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_minhash": op10_minhash,
 }
