@@ -31,11 +31,11 @@ from ._spark import class_sample, map_texts
 from ._text import LETTER_DIGIT, LOWER, U64, buffer_of, mix, span_hash, text_batches, word_spans
 
 #: Labelled documents of each class that training may see.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 600
 #: A cue is a feature this many times as frequent in toxic sample documents, by at least this log-likelihood
 #: ratio: at 25, chance makes less than one in a million features a cue.
 CUE_RATIO, CUE_G = 15.0, 25.0
-MAX_FEATURES = 60_000
+MAX_FEATURES = 20_000
 SENTENCE = 32
 BATCH_BYTES = 8 << 20
 #: Own cues of a word, then those of its neighbours.
@@ -168,23 +168,31 @@ def train(texts: list[str], toxic: list[bool], rounds: int = 60) -> Crf:
     found, n_words, y = features(data, begins, ends, first), np.diff(first), np.array(toxic, dtype=bool)
     doc = np.repeat(np.arange(len(texts)), n_words)
     n1, n0 = int(y.sum()), int((~y).sum())
-    # Document frequencies by class of each own feature.
-    own_keys, own_doc = found[:_OWN].ravel(), np.tile(doc, _OWN)
-    order = np.lexsort((own_doc, own_keys))
-    k, d = own_keys[order], own_doc[order]
-    new = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))[: len(k)] & (k != 0)
-    keys, at = np.unique(k[new], return_inverse=True)
-    df1, df0 = np.bincount(at, weights=y[d[new]], minlength=len(keys)), np.bincount(at, weights=~y[d[new]], minlength=len(keys))
-    p1, p0 = (df1 + 0.5) / (n1 + 1), (df0 + 0.5) / (n0 + 1)
-    both_df = np.maximum(df1 + df0, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g = 2 * (np.where(df1 > 0, df1 * np.log(df1 * len(y) / (both_df * max(n1, 1))), 0) + np.where(df0 > 0, df0 * np.log(df0 * len(y) / (both_df * max(n0, 1))), 0))
-    cue_keys = keys[(g >= CUE_G) & (p1 > CUE_RATIO * p0)] if n1 and n0 else keys[:0]
+    # Document frequencies by class of the own features, one kind at a time.
+    cues = [np.zeros(0, dtype=U64)]
+    for row in found[:_OWN] if n1 and n0 else ():
+        order = np.lexsort((doc, row))
+        k, d = row[order], doc[order]
+        once = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))[: len(k)] & (k != 0)
+        k, d = k[once], d[once]
+        first_of = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+        if not len(k):
+            continue
+        df1 = np.add.reduceat(y[d].astype(np.int64), first_of)
+        df0 = np.diff(np.append(first_of, len(k))) - df1
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g = 2 * (np.where(df1 > 0, df1 * np.log(df1 * len(y) / ((df1 + df0) * n1)), 0) + np.where(df0 > 0, df0 * np.log(df0 * len(y) / ((df1 + df0) * n0)), 0))
+        cues.append(k[first_of[(g >= CUE_G) & ((df1 + 0.5) / (n1 + 1) > CUE_RATIO * (df0 + 0.5) / (n0 + 1))]])
+    cue_keys = np.unique(np.concatenate(cues))
     cue = np.isin(found[:_OWN], cue_keys).any(axis=0) & y[doc]
     # Features: the cues, then the most frequent ones of all kinds.
-    every, count = np.unique(found[found != 0], return_counts=True)
-    often = every[count >= 5]
-    often = often[np.argsort(-count[count >= 5], kind="stable")[:MAX_FEATURES]]
+    often, count = [], []
+    for row in found:
+        keys, n = np.unique(row[row != 0], return_counts=True)
+        often.append(keys[n >= 5])
+        count.append(n[n >= 5])
+    often, count = np.concatenate(often), np.concatenate(count)
+    often = often[np.argsort(-count, kind="stable")[:MAX_FEATURES]]
     model = Crf(np.union1d(cue_keys, often), np.zeros(0), -4.0, np.zeros((2, 2)))
     model.weights = np.zeros(len(model.keys))
     # Sentences: all pieces that hold a toxic token and as many others at fixed steps.
@@ -193,7 +201,7 @@ def train(texts: list[str], toxic: list[bool], rounds: int = 60) -> Crf:
     size = np.minimum(SENTENCE, first[1:][doc[starts]] - starts)
     has = np.add.reduceat(cue, starts) > 0 if len(starts) else np.zeros(0, bool)
     rest = np.flatnonzero(~has)
-    take = np.concatenate([np.flatnonzero(has)[:30_000], rest[:: max(1, len(rest) // 20_000)]])
+    take = np.concatenate([np.flatnonzero(has)[:10_000], rest[:: max(1, len(rest) // 10_000)]])
     starts, size = starts[take], size[take]
     if len(starts):
         places = starts[:, None] + np.arange(SENTENCE)
