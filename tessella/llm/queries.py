@@ -12,11 +12,16 @@ from . import lang_id, toxicity_crf
 from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
+from .embed_pca import link_vectors
 from .minhash_forest import link_documents
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 
 
+def op2_embedding_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.95)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
@@ -56,6 +61,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_embedding_pca": op2_embedding_pca,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
@@ -94,4 +100,12 @@ WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\
      r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.y AS component_id, d.doc_id = m.y AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS y FROM r GROUP BY 1) m ON m.x = d.doc_id""",
+    "op2_embedding_pca": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+     u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v
+           WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+     l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_inner_product(a.e, b.e) >= 0.95),
+     r AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.b FROM r JOIN l ON l.a = r.y)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.y AS component_id, v.vec_id = m.y AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) n ON n.a = v.vec_id JOIN (SELECT x, min(y) AS y FROM r GROUP BY 1) m ON m.x = v.vec_id""",
 }

@@ -24,7 +24,7 @@ Hashes have 64 bits and are compared only within one anchor, that is 128 bits.
 
 Defined cases: null and empty texts have no bytes and lose none; texts shorter
 than `length` are kept; cutting may split a character, so the kept bytes need not
-be UTF-8 (the text form replaces such bytes); rows of equal doc_id are separate texts
+be UTF-8 (the text form leaves out the rest of a split character); rows of equal doc_id are separate texts
 only if their doc_ids differ, so doc_id must be unique; extra columns are ignored.
 """
 
@@ -374,7 +374,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, outputs: str = "digests",
     """Without the bytes of repeated windows.
 
     "digests": doc_id, n_bytes, n_removed, n_spans, kept_sha256. "text": the rows of docs with their text cut
-    (bytes that are no longer UTF-8 are replaced) and n_removed.
+    (rests of split characters are left out) and n_removed.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = repeated_windows(plain.filter(F.octet_length("text") >= length), length, most)
@@ -408,7 +408,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, outputs: str = "digests",
                 removed.append(int(gone.sum()))
                 spans.append(int((np.diff(np.append(False, gone).astype(np.int8)) == 1).sum()))
             if outputs == "text":
-                own = {"text": pa.array([x.decode(errors="replace") for x in texts], pa.string()), "n_removed": pa.array(removed, pa.int64())}
+                own = {"text": pa.array([x.decode(errors="ignore") for x in texts], pa.string()), "n_removed": pa.array(removed, pa.int64())}
                 columns = [own[x] if x in own else batch.column(x) for x in kinds]
             else:
                 columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in texts])]
