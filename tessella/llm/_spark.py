@@ -13,10 +13,7 @@ from pyspark.sql import types as T
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of df in the shared checkpoint folder; lost executors do not lose them."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -61,3 +58,17 @@ def class_sample(df: DataFrame, id_col: str, class_col: str, limit: int, salt: i
     for value, n in counts.items():
         share = F.when(F.col(class_col).eqNullSafe(F.lit(value)), F.lit(min(1.0, limit / n))).otherwise(share)
     return df.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(1 << 20)) < share * (1 << 20))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().get()
+
+
+def without(df: DataFrame, ids: DataFrame, most: int = 500_000) -> DataFrame:
+    """df without the rows of the given doc_ids; they are broadcast if counted to be few."""
+    ids = cut_lineage(ids.select("doc_id"))
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*df.columns)
