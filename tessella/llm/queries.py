@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id, toxicity_crf
+from . import lang_id, lm_lattice, toxicity_crf
 from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
@@ -18,6 +18,11 @@ from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 
 
+def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_lattice.score_documents(docs, crc_mod("doc_id", 10) == 0, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_embedding_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.95)
 
@@ -61,6 +66,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice_lm": op1_lattice_lm,
     "op2_embedding_pca": op2_embedding_pca,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
