@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id, lm_lattice, toxicity_crf
+from . import lang_id, license_scan, lm_lattice, toxicity_crf
 from ._spark import crc_mod, read
 from .bpe_trie import encode_documents
 from .decontaminate import find_benchmark
@@ -47,6 +47,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs, license_scan.fit(docs))
+
+
 def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="digests")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
+    "op6_licences": op6_licences,
     "op7_bpe_trie": op7_bpe_trie,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
