@@ -16,8 +16,8 @@ a window that also starts anywhere else is removed.
    starts repeat.
 3. An anchor with more than `most` different segments (a passage shared by a great
    part of the documents, whose edges differ) does not go to one task: its windows
-   are told apart first by the bytes that 16 neighbouring windows share, and those
-   that remain by their own bytes, in counts that are combined before each shuffle.
+   are told apart by the bytes that 64, then 16, 4 neighbouring windows share, and
+   at last by their own bytes, in counts that are combined before each shuffle.
    This gives the same windows as sorting would.
 
 Hashes have 64 bits and are compared only within one anchor, that is 128 bits.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,8 @@ from ._spark import cut_lineage, schema
 from ._text import U64, buffer_of, loads, mix, text_batches
 
 GRAM = 32
-CORE = 16
+#: Windows of a block, from step to step, where segments are split.
+CORES = (64, 16, 4, 1)
 BATCH_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 18
 #: Segments of one anchor that a task may sort together.
@@ -304,10 +306,11 @@ def _sorted_repeats(pieces: DataFrame, length: int) -> DataFrame:
 
 
 def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
-    """anchor, seg, lo, hi, o, h of blocks of `core` windows of each piece, or of those in its `only` list.
+    """anchor, seg, lo, hi, o, h, u of blocks of `core` windows of each piece, or of those in its `only` list.
 
     o is the block's distance from the anchor in blocks, h the hash of the bytes that every window of the
-    full block holds, so equal windows have equal o and h. With core = 1 a block is one window.
+    full block holds, so equal windows have equal o and h; u the hash of all its bytes, null for a part of a
+    block at a segment's end. With core = 1 a block is one window.
     """
     own = [x for x in ("anchor", "seg", "n", "back", "bytes", "only") if x in pieces.columns]
 
@@ -336,22 +339,33 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
             row, o, lo, hi = row[first], o[first], w[first], w[last]
             start = offsets[row] + back[row] - core * o
             h = sums.span(start, start - (core - 1) + length)
+            full = hi - lo == core - 1
+            u = sums.span(offsets[row] + lo, offsets[row] + hi + length)
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(take), batch.column("seg").take(take), pa.array(lo), pa.array(hi), pa.array(o), pa.array(h.view(np.int64))], names=["anchor", "seg", "lo", "hi", "o", "h"])
+            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(take), batch.column("seg").take(take), pa.array(lo), pa.array(hi), pa.array(o), pa.array(h.view(np.int64)), pa.array(u.view(np.int64), mask=~full)], names=["anchor", "seg", "lo", "hi", "o", "h", "u"])
 
-    return pieces.select(*own).mapInArrow(run, schema("anchor long, seg long, lo long, hi long, o long, h long"))
+    return pieces.select(*own).mapInArrow(run, schema("anchor long, seg long, lo long, hi long, o long, h long, u long"))
 
 
 def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
-    """anchor, seg, lo, hi of segments of crowded anchors, by counts of hashes that are combined before each shuffle."""
-    key = ["anchor", "o", "h"]
-
-    def shared(rows: DataFrame) -> DataFrame:
-        return rows.join(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), key).select("anchor", "seg", "lo", "hi")
+    """anchor, seg, lo, hi of segments of crowded anchors, by counts of hashes that are combined before each shuffle.
 
-    blocks = shared(cut_lineage(_window_hashes(pieces, length, CORE)))
-    only = blocks.groupBy("anchor", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("only"))  # at most a few tens
-    return shared(cut_lineage(_window_hashes(pieces.join(only, ["anchor", "seg"]), length, 1)))
+    Blocks whose windows share bytes with another segment's block go on to smaller blocks, unless
+    all bytes of the block are the same wherever those shared bytes stand: then all its windows repeat.
+    """
+    key = ["anchor", "o", "h"]
+    rows, done = pieces, []
+    for core in CORES:
+        hashes = cut_lineage(_window_hashes(rows, length, core))
+        counts = hashes.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), ((F.count("u") == F.count(F.lit(1))) & (F.min("u") == F.max("u"))).alias("whole")).filter("c > 1")
+        shared = cut_lineage(hashes.join(counts, key).select("anchor", "seg", "lo", "hi", F.coalesce("whole", F.lit(False)).alias("whole")))
+        done.append(shared.filter("whole").drop("whole"))
+        rest = shared.filter("not whole")
+        if rest.isEmpty():
+            break
+        only = rest.groupBy("anchor", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("only"))  # at most a few
+        rows = pieces.join(only, ["anchor", "seg"])
+    return reduce(DataFrame.unionAll, done)
 
 
 def repeated_windows(docs: DataFrame, length: int = 400, most: int = MOST) -> DataFrame:
