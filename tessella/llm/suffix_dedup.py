@@ -355,7 +355,7 @@ def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
     """
     key = ["anchor", "o", "h"]
     rows, done = pieces, []
-    for core in CORES:
+    for core in (c for c in CORES if c + 7 <= length):  # the shared bytes are at least eight
         hashes = cut_lineage(_window_hashes(rows, length, core))
         counts = hashes.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), ((F.count("u") == F.count(F.lit(1))) & (F.min("u") == F.max("u"))).alias("whole")).filter("c > 1")
         shared = cut_lineage(hashes.join(counts, key).select("anchor", "seg", "lo", "hi", F.coalesce("whole", F.lit(False)).alias("whole")))
