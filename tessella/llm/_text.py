@@ -31,8 +31,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that the texts of each hold about max_bytes (one longer text stays alone)."""
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int, max_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that the texts of each hold about max_bytes (one longer text stays alone) in at most max_rows rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -41,7 +41,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int)
         start = 0
         while start < batch.num_rows:
             base = total[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(total, base + max_bytes, side="right")))
+            end = min(start + max_rows, max(start + 1, int(np.searchsorted(total, base + max_bytes, side="right"))))
             yield batch.slice(start, end - start)
             start = end
 

@@ -36,8 +36,8 @@ from ._pieces import WORD_END, byte_alphabet, is_plain, special_splitter
 from ._spark import map_texts
 from ._text import text_batches
 
-BATCH_BYTES = 8 << 20
-TABLE_ENTRIES = 400_000
+BATCH_BYTES = 3 << 20
+TABLE_ENTRIES = 150_000
 _NEVER = 1 << 60
 
 
