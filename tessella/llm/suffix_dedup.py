@@ -49,7 +49,7 @@ CORES = (64, 16, 4, 1)
 BATCH_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 18
 #: Segments of one anchor that a task may sort together.
-MOST = 256
+MOST = 1024
 BROADCAST_IDS = 500_000
 _SEP = 0xFF  # never a byte of UTF-8
 _A, _B = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
