@@ -11,9 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Arrow batches for Python workers; the default of 64 MB stands several times in an executor with its workers.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size if it is larger than these operators are laid out for."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name, "64m")).lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    if not 0 < int(now.rstrip("kmg")) * scale <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of df in the shared checkpoint folder; lost executors do not lose them."""
     shared_folder(df.sparkSession)
+    bound_batches(df.sparkSession)
     return df.checkpoint()
 
 
@@ -22,6 +36,7 @@ def map_texts(df: DataFrame, text_col: str, kernel: Callable, ddl: str, keep_tex
 
     A passing column whose name clashes with a new one is left out.
     """
+    bound_batches(df.sparkSession)
     new = T.StructType.fromDDL(ddl)
     names = {f.name.lower() for f in new}
     passing = [f for f in df.schema if f.name.lower() not in names and (keep_text or f.name != text_col)]
