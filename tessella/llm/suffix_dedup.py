@@ -371,10 +371,11 @@ def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, length: int = 400, most: int = MOST) -> DataFrame:
     """doc_id, lo, hi: runs of window starts in documents (doc_id, text) whose windows also start elsewhere."""
     every = cut_lineage(_scan(docs, length))
-    seen = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    # Written first, so that a skewed side of the join can be split: it need not keep the aggregation's partitions.
+    seen = cut_lineage(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     twice = cut_lineage(every.join(seen, "anchor"))
     kinds = cut_lineage(twice.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "at", "n", "back")).alias("r")))
-    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    sizes = cut_lineage(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"))
     wanted = cut_lineage(kinds.join(sizes, "anchor").select("anchor", "seg", "r.*", "kinds"))
     runs = kinds.filter("c > 1").select("anchor", "seg", F.lit(0).cast("long").alias("lo"), (F.col("r.n") - 1).cast("long").alias("hi"))
     runs = runs.unionAll(_sorted_repeats(_cut_out(docs, wanted.filter(F.col("kinds") <= most).drop("kinds", "back"), length), length))
