@@ -49,9 +49,9 @@ def test_ocr_layouts(spark, tmp_path):
 def test_questions_and_front_matter(spark, tmp_path):
     (tmp_path / "q.xml").write_text("<evaluation><qa_pair><question> a? </question><answer>1</answer></qa_pair><qa_pair><question>b</question></qa_pair></evaluation>")
     assert [tuple(r) for r in S.read_questions(spark, str(tmp_path / "q.xml")).collect()] == [("a?", "1")]
-    (tmp_path / "SKILL.md").write_text("---\nname: my-skill\ndescription: does things\n---\nbody")
-    r = S.read_front_matter(spark, str(tmp_path / "SKILL.md")).head()
-    assert (r["keys"], r["name"], r["description"]) == (["name", "description"], "my-skill", "does things")
+    (tmp_path / "NOTE.md").write_text("---\nname: my-tool\ndescription: does things\n---\nbody")
+    r = S.read_front_matter(spark, str(tmp_path / "NOTE.md")).head()
+    assert (r["keys"], r["name"], r["description"]) == (["name", "description"], "my-tool", "does things")
 
 
 def test_repeated_keys_are_rejected():
