@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -31,6 +33,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release() -> None:
+    """Hand freed memory of this Python worker back to the system: workers outlive their stage, an executor's limit counts them all."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(df: DataFrame, text_col: str, kernel: Callable, ddl: str, keep_text: bool = False) -> DataFrame:
     """Run a kernel over Arrow batches: it yields (batch, new columns), the other columns pass through.
 
@@ -46,6 +56,8 @@ def map_texts(df: DataFrame, text_col: str, kernel: Callable, ddl: str, keep_tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, columns in kernel(batches):
             yield pa.RecordBatch.from_arrays([batch.column(x) for x in own] + columns, names=own + [f.name for f in new])
+            del batch, columns
+        release()
 
     return df.select(*(F.col(f"`{x}`") for x in need)).mapInArrow(run, T.StructType([*passing, *new]))
 

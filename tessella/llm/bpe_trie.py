@@ -235,6 +235,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
                 yield batch, [n, pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in got]), pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in got])]
             else:
                 yield batch, [n, pa.array([np.frombuffer(ids, "<i4") for ids, _ in got], pa.list_(pa.int32())), pa.array([text for _, text in got])]
+        # The tables go with the task; the next one builds them in about a second.
+        del own
+        encoder.cache_clear()
 
     return map_texts(docs, text_col, run, ddl)
 
