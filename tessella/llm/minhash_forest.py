@@ -10,7 +10,9 @@ deeper, by 4, 6 and then all 8 minima, until its parts are small; beside that
 every class of a large region is compared with the region's centre, the class
 whose whole parts are the most common (in a family of edited copies, the
 original). Classes that are not found to be linked with their centre meet again
-in rounds, with new centres, for as long as a round finds links.
+in rounds, with new centres, for as long as a round finds links. That only saves work:
+at the end the classes of all large regions that hold more than one component go through
+an exact prefix-filter join, which finds every similar pair of different components.
 
 Candidates are confirmed on full shingle sets: 100 * intersection >= percent * union.
 At 14 trees and depth 3 a pair of similarity 0.85 is missed with probability 1.2e-6.
@@ -38,6 +40,8 @@ from ._text import LOWER, NOT_SPACE, U64, buffer_of, mix, shingle_hash, span_has
 TREES, LENGTH, DEPTHS, SMALL = 14, 8, (3, 4, 6, 8), 16
 SHINGLE = 5
 BATCH_BYTES = 4 << 20
+#: Counters of shingles by hash, which order a set from rare to common (any order is exact, a good one makes few candidates).
+SLOTS = 1 << 20
 #: Ids that a broadcast may hold (about 24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -142,6 +146,63 @@ def _counted(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(rows.groupBy(key).agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), key)
 
 
+def _prefixes(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """rep, part, n, token, pos, low: the first shingles of each class of crowd (rep, part), rare ones first.
+
+    A set of n and one of at most n with enough in common have their first common shingle among the first
+    n - ceil(percent * n / 100) + 1 of the larger one, and in the rows marked low of the smaller one.
+    Shingles of one class only are left out, positions count them.
+    """
+    few = crowd.count() <= BROADCAST_IDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(F.broadcast(crowd) if few else crowd, "rep").select("rep", "part", "text")
+    shift = U64(64 - SLOTS.bit_length() + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, dtype=np.int64)
+        for batch in text_batches(batches, "text", BATCH_BYTES):
+            seen += np.bincount((shingle_sets(batch.column("text"), width)[0] >> shift).astype(np.int64), minlength=SLOTS)
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some])], names=["slot", "m"])
+
+    found = texts.select("text").mapInArrow(count, schema("slot int, m long")).groupBy("slot").agg(F.sum("m").alias("m")).toArrow()
+    table = np.zeros(SLOTS, dtype=np.uint32)
+    table[found.column("slot").to_numpy()] = np.minimum(found.column("m").to_numpy(), 0xFFFFFFFF)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        for batch in text_batches(batches, "text", BATCH_BYTES):
+            sets, at = shingle_sets(batch.column("text"), width)
+            size = np.diff(at)
+            row = np.repeat(np.arange(len(size)), size)
+            m = common[(sets >> shift).astype(np.int64)]
+            order = np.lexsort((sets, m, row))
+            pos = np.arange(len(sets)) - at[row]
+            n = size[row]
+            keep = (pos <= n - -(-percent * n // 100)) & (m[order] > 1)
+            low = pos <= n - -(-2 * percent * n // (100 + percent))
+            row = row[keep]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").take(pa.array(row)), batch.column("part").take(pa.array(row)), pa.array(n[keep].astype(np.int32)), pa.array(sets[order][keep].view(np.int64)), pa.array(pos[keep].astype(np.int32)), pa.array(low[keep])],
+                names=["rep", "part", "n", "token", "pos", "low"],
+            )
+
+    return texts.mapInArrow(first, schema("rep long, part long, n int, token long, pos int, low boolean"))
+
+
+def _across(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """Candidates (a, b) of different parts of crowd (rep, part): no similar pair is missing."""
+    rows = cut_lineage(_prefixes(crowd, docs, percent, width))
+    mixed = rows.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("token")
+    rows = cut_lineage(rows.join(mixed, "token"))
+    x, y = (r.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "part", "n", "pos"))) for r, s in ((rows, "x"), (rows.filter("low"), "y")))
+    smaller = (F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("rep_y") < F.col("rep_x")))
+    # What is left of both sets from their first common shingle on must hold all that they need in common.
+    enough = (100 + percent) * F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")).cast("long") >= percent * (F.col("n_x") + F.col("n_y")).cast("long")
+    pairs = x.join(y, (x["token"] == y["token"]) & (F.col("part_x") != F.col("part_y")) & smaller & (100 * F.col("n_y").cast("long") >= percent * F.col("n_x").cast("long")) & enough)
+    return pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
@@ -178,6 +239,7 @@ def link_documents(docs: DataFrame, percent: int = 85, width: int = SHINGLE, tre
     tried = cut_lineage(_union(found).distinct())
     links = cut_lineage(_confirm(tried, docs, percent, width))
     parts = components(links)
+    everyone = regions
     while regions is not None:
         # Where a region's classes are not all in one component, those outside its centre's component meet again.
         own = regions.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
@@ -193,5 +255,14 @@ def link_documents(docs: DataFrame, percent: int = 85, width: int = SHINGLE, tre
             break
         tried, links = tried.unionAll(more), links.unionAll(new)
         parts = components(links)
+    if everyone is not None:
+        own = everyone.select("rep", "k0").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+        mixed = own.groupBy("k0").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("k0")
+        crowd = cut_lineage(own.join(mixed, "k0").select("rep", "part").distinct())
+        if not crowd.isEmpty():
+            more = cut_lineage(_across(crowd, docs, percent, width).join(tried, ["a", "b"], "left_anti"))
+            new = cut_lineage(_confirm(more, docs, percent, width))
+            if not new.isEmpty():
+                parts = components(links.unionAll(new))
     out = member.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

@@ -111,6 +111,37 @@ def test_minhash_links_equal_brute_force(spark):
     assert minhash_forest.link_documents(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["template", "generations"])
+def test_minhash_links_in_large_regions(spark, kind):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+
+    def edited(words, n):  # n edits in places of their own: each takes five shingles
+        out = list(words)
+        for at in rng.sample(range(2, len(out) // 5 - 1), n):
+            out[at * 5] = word()
+        return out
+
+    if kind == "template":  # one frame around texts of their own; a few pairs among them are copies
+        frame = [word() for _ in range(200)]
+        rows = [frame + [word() for _ in range(40)] for _ in range(40)]
+        rows += [edited(rows[k], 2) for k in range(0, 40, 8)]
+    else:  # copies of copies: each like the one before, not like the first
+        first = [word() for _ in range(300)]
+        rows = [edited(first, 1) for _ in range(25)]
+        for k in range(25):
+            child = edited(rows[k], 4)
+            rows += [child, edited(child, 4)]
+    sets = [shingles(" ".join(w)) for w in rows]
+    links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    got = {r.doc_id: r.component_id for r in minhash_forest.link_documents(docs(spark, [" ".join(w) for w in rows]), small=2, depths=(1,)).collect()}
+    assert got == dict(enumerate(label))
+
+
 def test_suffix_array_of_two_stages():
     rng = random.Random(5)
     for k in range(200):
