@@ -263,6 +263,22 @@ def test_language_identification(spark):
     assert lang_id.identify(df, lang_id.fit(empty(spark))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_rejects_what_it_has_not_learned(spark):
+    rng = random.Random(13)
+    # Texts of 5 to 90 words, and some odd short texts, which must not set the limit for all.
+    make = lambda parts, n: " ".join("".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(n))
+    kinds = {"xx": ["tion", "the", "ing", "er", "an", "re"], "yy": ["ä", "sch", "ung", "ein", "de", "ich"]}
+    rows = [(k, make(kinds[lang := ("xx", "yy")[k % 2]], rng.choice((5, 20, 90))), lang) for k in range(400)] + [(400 + k, t, "xx") for k, t in enumerate(("A.", "Bo.", "Ku.", "Vy.", "Zzz.", "Pf.", "Q.", "Jw.", "Mb.", "Co."))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(df)
+    clean = [make(kinds[x], n) for x in kinds for n in (5, 20, 90) for _ in range(40)]
+    far = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n)) for n in (60, 400)] + ["".join(chr(rng.randint(0x3B1, 0x3C9)) for _ in range(n)) for n in (60, 400)]
+    far += [make(parts, n) for parts in ("bcdfgjklmpqvwxz", "abcdefghijklmnopqrstuvwxyz") for n in (40, 200)] + [rng.randbytes(n).hex() for n in (60, 400)]
+    got = {r.doc_id: r.rejected for r in lang_id.identify(docs(spark, clean + far), model).collect()}
+    assert sum(got[k] for k in range(len(clean))) <= 0.02 * len(clean)
+    assert all(got[k] for k in range(len(clean), len(clean + far)))
+
+
 def test_licences(spark):
     texts = [None, "", "Some text.\nReleased under the MIT License.\nMore text here.", "We like the license of things.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.\nLicensed under the Apache License, Version 2.0."]
     got = {r.doc_id: r for r in license_scan.scan(docs(spark, texts), license_scan.fit(docs(spark, texts))).collect()}
