@@ -1,7 +1,9 @@
 """Licence scan by a trained paragraph classifier.
 
 A document is cut into units: its lines, and in longer lines windows of 32 words at every
-16. A multinomial logistic regression over word uni- and bigrams, sparse and
+16. What no line confirms is cut again as paragraphs: words between blank lines or confirmed
+notices, in the same windows across single line breaks, so hard-wrapped notices are found too;
+this is repeated beside what it confirms until nothing more is found. A multinomial logistic regression over word uni- and bigrams, sparse and
 hashed, gives each unit a licence family or the unknown class. It is trained here on
 variants of the notices below (words left out, ordinary words around them) against
 units of a bounded sample of the corpus and loose pieces of notices, which stand for
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import map_texts
-from ._text import LETTER_DIGIT, LOWER, U64, buffer_of, mix, span_hash, text_batches, word_spans
+from ._text import LETTER_DIGIT, LOWER, NOT_SPACE, U64, buffer_of, mix, span_hash, text_batches, word_spans
 
 #: Short public notices of licence families.
 NOTICES = {
@@ -56,19 +58,29 @@ BATCH_BYTES = 4 << 20
 _SEED = U64(0x9E3779B97F4A7C15)
 
 
-def units_of(data: np.ndarray, offsets: np.ndarray):
-    """(hashes, begins, ends of words; first word, last word + 1, document of each unit)."""
+def _windows(group: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and last word + 1 of the windows over runs of used words of equal group."""
+    at = np.flatnonzero(use)
+    if not len(at):
+        return at, at
+    new = np.append(True, (group[at[1:]] != group[at[:-1]]) | (np.diff(at) > 1))
+    start = at[new]
+    size = np.diff(np.append(np.flatnonzero(new), len(at)))
+    n = np.maximum(1, -(-(size - UNIT) // STEP) + 1)
+    first = np.repeat(start, n) + (np.arange(int(n.sum())) - np.repeat(np.concatenate([[0], np.cumsum(n)])[:-1], n)) * STEP
+    return first, np.minimum(first + UNIT, np.repeat(start + size, n))
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray):
+    """(hashes, begins, ends, line, paragraph, document) of each word; lines and paragraphs are numbered through the batch."""
     begins, ends, first = word_spans(data, offsets, LETTER_DIGIT)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    breaks = np.concatenate([[0], np.cumsum(data[: int(offsets[-1])] == 10)])
-    line = breaks[begins]
-    new = np.append(True, (line[1:] != line[:-1]) | (doc[1:] != doc[:-1]))[: len(begins)]
-    start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(begins)))
-    n = np.maximum(1, -(-(size - UNIT) // STEP) + 1)
-    at = np.repeat(start, n) + (np.arange(int(n.sum())) - np.repeat(np.concatenate([[0], np.cumsum(n)])[:-1], n)) * STEP
-    stop = np.minimum(at + UNIT, np.repeat(start + size, n))
-    return span_hash(data, begins, ends), begins, ends, at, stop, doc[at] if len(at) else at
+    text = data[: int(offsets[-1])]
+    breaks = np.flatnonzero(text == 10)
+    filled = np.concatenate([[0], np.cumsum(NOT_SPACE[text])])[breaks]
+    blank = breaks[1:][filled[1:] == filled[:-1]]
+    line, paragraph = np.searchsorted(breaks, begins), np.searchsorted(blank, begins)
+    return span_hash(data, begins, ends), begins, ends, line + doc, paragraph + doc, doc
 
 
 def grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +114,7 @@ class LicenceModel:
             # A word lies in at most two windows: the last that starts before it, and the one before that.
             u = np.searchsorted(at, place, side="right") - 1
             for v in (u, u - 1):
-                good = (v >= 0) & (place >= at[v]) & (place + width <= stop[v])
+                good = (v >= 0) & (place + width <= stop[np.maximum(v, 0)])
                 hits.append(np.stack([v[good], slot[good]]))
         unit, slot = np.concatenate(hits, axis=1)
         both = np.unique(unit * len(self.keys) + slot)  # presence, not counts
@@ -112,9 +124,19 @@ class LicenceModel:
         np.add.at(z, row, self.weights[slot])
         return some, softmax(z / self.temperature)
 
-    def confirms(self, family: int, words: np.ndarray) -> bool:
+    def confirms(self, family: int, words: np.ndarray) -> tuple[int, int] | None:
+        """First word and last word + 1 of the notice that the words hold most of, if that is enough: of its first full copy."""
         own = grams(words)[1]
-        return any(np.isin(n, own).mean() >= CONFIRM for n in self.notices[family])
+        share, best = max((float(np.isin(n, own).mean()), -k) for k, n in enumerate(self.notices[family]))
+        if share < CONFIRM:
+            return None
+        notice = self.notices[family][-best]
+        held = np.flatnonzero(np.isin(own, notice))
+        copies = [held[i : np.searchsorted(held, x + len(notice) + 2)] for i, x in enumerate(held.tolist())]
+        copy = max(copies, key=lambda c: len(np.unique(own[c])))
+        pairs, at = np.unique(own[copy], return_index=True)
+        held = copy[: at.max() + 1] if len(pairs) >= CONFIRM * len(notice) else held
+        return int(held[0]), int(held[-1]) + 2
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -194,28 +216,57 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", keep_text
         unknown = len(own.families)
         for batch in text_batches(batches, text_col, BATCH_BYTES):
             data, offsets = buffer_of(batch.column(text_col))
-            words, begins, ends, at, stop, doc = units_of(LOWER[data], offsets)
+            words, begins, ends, line, paragraph, doc = words_of(LOWER[data], offsets)
             n = batch.num_rows
+            hits: list[list[tuple[int, int, int, float]]] = [[] for _ in range(n)]
+            loose: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+            taken = np.full(len(words), -1)  # the family that a word was confirmed for
+
+            def predicted(at: np.ndarray, stop: np.ndarray) -> list[tuple[int, int, int, float]]:
+                some, p = own.units(words, at, stop) if len(words) > 1 and len(at) else (np.zeros(0, np.int64), np.zeros((0, unknown + 1)))
+                top = p.argmax(axis=1) if len(p) else some
+                good = top < unknown
+                return list(zip(at[some[good]].tolist(), stop[some[good]].tolist(), top[good].tolist(), p[good, top[good]].tolist(), strict=True))
+
+            for x, y, k, p in predicted(*_windows(line, taken < 0)):
+                if own.confirms(k, words[x:y]):
+                    hits[doc[x]].append((x, y, k, p))
+                    taken[x:y] = k
+                else:
+                    loose[doc[x]].append((x, y))
+            active = np.ones(n, dtype=bool)
+            while active.any():
+                at, stop = _windows(paragraph, (taken < 0) & active[doc])
+                wrapped = line[at] != line[stop - 1]
+                active[:] = False
+                left: list[tuple[int, int]] = []
+                # Of overlapping notices the more probable one stands.
+                for x, y, k, p in sorted(predicted(at[wrapped], stop[wrapped]), key=lambda u: (-u[3], u[0])):
+                    held = own.confirms(k, words[x:y])
+                    if held is None:
+                        left.append((x, y))
+                    elif np.isin(taken[x + held[0] : x + held[1]], (-1, k)).all():
+                        hits[doc[x]].append((x + held[0], x + held[1], k, p))
+                        taken[x + held[0] : x + held[1]] = k
+                        active[doc[x]] = True
+                for x, y in sorted(left):
+                    if not active[doc[x]] and not any(a < y and x < b for a, b in loose[doc[x]]):  # else it is cut anew, or counted as a line or window
+                        loose[doc[x]].append((x, y))
+            n_loose = np.array([sum((taken[x:y] < 0).all() for x, y in u) for u in loose], dtype=np.int64)
             best: list[tuple[float, str] | None] = [None] * n
             spans: list[list[dict]] = [[] for _ in range(n)]
-            loose = np.zeros(n, dtype=np.int64)
-            some, p = own.units(words, at, stop) if len(words) > 1 else (np.zeros(0, np.int64), np.zeros((0, unknown + 1)))
-            top = p.argmax(axis=1) if len(p) else some
-            for u, k, row in zip(some[top < unknown].tolist(), top[top < unknown].tolist(), p[top < unknown], strict=True):
-                d = int(doc[u])
-                if not own.confirms(k, words[at[u] : stop[u]]):
-                    loose[d] += 1
-                    continue
-                x = {"start": int(begins[at[u]] - offsets[d]), "end": int(ends[stop[u] - 1] - offsets[d]), "family": own.families[k], "p": float(row[k])}
-                last = spans[d][-1] if spans[d] else None
-                if last and last["family"] == x["family"] and x["start"] < last["end"]:  # the same notice in two windows
-                    last["end"], last["p"] = x["end"], max(last["p"], x["p"])
-                else:
-                    spans[d].append(x)
-                if best[d] is None or (x["p"], best[d][1]) > (best[d][0], x["family"]):
-                    best[d] = (x["p"], x["family"])
+            for d in range(n):
+                for x, y, k, p in sorted(hits[d]):
+                    new = {"start": int(begins[x] - offsets[d]), "end": int(ends[y - 1] - offsets[d]), "family": own.families[k], "p": p}
+                    last = spans[d][-1] if spans[d] else None
+                    if last and last["family"] == new["family"] and new["start"] < last["end"]:  # the same notice in two windows
+                        last["end"], last["p"] = max(last["end"], new["end"]), max(last["p"], p)
+                    else:
+                        spans[d].append(new)
+                    if best[d] is None or (p, best[d][1]) > (best[d][0], new["family"]):
+                        best[d] = (p, new["family"])
             yield batch, [
-                pa.array([b[1] if b else None for b in best], pa.string()), pa.array([b[0] if b else 0.0 for b in best], pa.float64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(loose),
+                pa.array([b[1] if b else None for b in best], pa.string()), pa.array([b[0] if b else 0.0 for b in best], pa.float64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(n_loose),
                 pa.array([sorted({x["family"] for x in s}) for s in spans], pa.list_(pa.string())), pa.array(spans, span),
             ]
 

@@ -287,6 +287,16 @@ def test_licences(spark):
     assert pa.array(got[5].families).to_pylist() == ["apache-2.0"]
 
 
+def test_wrapped_licences(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met."
+    apache = "Licensed under the Apache License,\nVersion 2.0."
+    texts = [bsd, apache, f"Some words here.\n{apache}\nMore words there.\n\n# {bsd.replace(chr(10), chr(10) + '# ')}\n", "Licensed under the Apache\n\nLicense of our town", "Released under\nthe MIT License.\n" * 3, f"Released under the MIT License.\n{apache}"]
+    got = {r.doc_id: r for r in license_scan.scan(docs(spark, texts), license_scan.fit(docs(spark, ["Some text.", "More text here."]))).collect()}
+    assert [got[k].families for k in range(6)] == [["bsd-3-clause"], ["apache-2.0"], ["apache-2.0", "bsd-3-clause"], [], ["mit"], ["apache-2.0", "mit"]]
+    assert [got[k].n_unconfirmed for k in (0, 1, 2)] == [0, 0, 0] and [got[k].n_confirmed for k in (2, 4, 5)] == [2, 3, 2]
+    assert [texts[k][got[k].spans[0].start : got[k].spans[0].end] for k in (0, 1)] == [bsd[:-1], apache[:-1]]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
