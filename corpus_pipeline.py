@@ -48,8 +48,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the columns of documents beside its text."""
-    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="ids").drop("decoded")
+    """Token ids of every document and the text decoded from them, with the columns of documents beside its text."""
+    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs="ids")
 
 
 STAGES = [

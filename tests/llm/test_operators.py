@@ -308,3 +308,11 @@ def test_pipeline_stages(spark, tmp_path):
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r.doc_id for r in out.collect()) == [0, 5] and "ids" in out.columns
+
+
+def test_pipeline_keeps_the_decoded_text(spark):
+    import corpus_pipeline
+
+    rows = {r.doc_id: r.decoded for r in corpus_pipeline.encode(spark, docs(spark, ["the cat sat", "", "lead"]), "").collect()}
+    own = TrieBpe(WORD).library
+    assert rows == {k: own.decode(own.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) for k, t in enumerate(["the cat sat", "", "lead"])}
