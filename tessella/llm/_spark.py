@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -14,7 +15,9 @@ from pyspark.sql import types as T
 
 
 #: Arrow batches for Python workers; the default of 64 MB stands several times in an executor with its workers.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
+#: Ids that a broadcast may hold (8 bytes each, about 24 in its table).
+FEW = 500_000
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -36,11 +39,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def release() -> None:
     """Hand freed memory of this Python worker back to the system: workers outlive their stage, an executor's limit counts them all."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def map_batches(df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """df.mapInArrow(kernel) over bounded batches; the worker gives freed memory back at the end of each task."""
+    bound_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from kernel(batches)
+        release()
+
+    return df.mapInArrow(run, schema(ddl))
+
+
+def with_nodes(docs: DataFrame, text_col: str = "text", name: str = "node") -> tuple[DataFrame, bool]:
+    """docs with a number that tells its rows apart: doc_id, or a hash of doc_id and text where the doc_id is null or repeated.
+
+    Rows equal in doc_id and text share their number. The second result says whether any doc_id is null or repeated;
+    only then do such rows exist. The repeated ids are broadcast if counted to be few.
+    """
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("c"))
+    odd = cut_lineage(ids.filter("c > 1 or doc_id is null").select(F.col("doc_id").alias(name)))
+    n = odd.limit(FEW + 1).count()
+    plain = F.col("doc_id").cast("long")
+    if not n:
+        return docs.withColumn(name, plain), False
+    hashed = F.xxhash64("doc_id", text_col)
+    single = docs.join(F.broadcast(odd) if n <= FEW else odd, plain == F.col(name), "left")
+    return single.withColumn(name, F.when(F.col(name).isNull() & plain.isNotNull(), plain).otherwise(hashed)), True
+
+
 def map_texts(df: DataFrame, text_col: str, kernel: Callable, ddl: str, keep_text: bool = False) -> DataFrame:
     """Run a kernel over Arrow batches: it yields (batch, new columns), the other columns pass through.
 
@@ -75,8 +107,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def class_sample(df: DataFrame, id_col: str, class_col: str, limit: int, salt: int = 0) -> DataFrame:
-    """About `limit` rows of each class, by a hash of the id: the bound does not grow with the table.
+def class_sample(df: DataFrame, id_col: str, class_col: str, limit: int, salt: int = 0, text_col: str | None = None) -> DataFrame:
+    """About `limit` rows of each class, by a hash of the id (and the text, where ids may be null): the bound does not grow with the table.
 
     The same rows at every run. A class of fewer rows is taken whole.
     """
@@ -84,18 +116,21 @@ def class_sample(df: DataFrame, id_col: str, class_col: str, limit: int, salt: i
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(class_col).eqNullSafe(F.lit(value)), F.lit(min(1.0, limit / n))).otherwise(share)
-    return df.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(1 << 20)) < share * (1 << 20))
+    return df.filter(F.pmod(F.xxhash64(*(F.col(c) for c in (id_col, text_col) if c), F.lit(salt)), F.lit(1 << 20)) < share * (1 << 20))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or in local mode (tests) one of our own where that is unset."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().get()
+        if not named and re.match(r"local(\[|$)", sc.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return named or sc._jsc.sc().getCheckpointDir().get()
 
 
-def without(df: DataFrame, ids: DataFrame, most: int = 500_000) -> DataFrame:
-    """df without the rows of the given doc_ids; they are broadcast if counted to be few."""
-    ids = cut_lineage(ids.select("doc_id"))
-    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*df.columns)
+def without(df: DataFrame, ids: DataFrame, most: int = FEW) -> DataFrame:
+    """df without the rows of the given nodes (node), which are broadcast if counted to be few."""
+    ids = cut_lineage(ids.select("node"))
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "node", "left_anti").select(*df.columns)

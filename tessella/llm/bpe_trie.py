@@ -36,9 +36,12 @@ from ._pieces import WORD_END, byte_alphabet, is_plain, special_splitter
 from ._spark import map_texts
 from ._text import text_batches
 
-BATCH_BYTES = 3 << 20
-TABLE_ENTRIES = 150_000
+BATCH_BYTES = 1 << 20
+#: Words whose ids a worker keeps, and token pairs that it keeps judged.
+TABLE_ENTRIES, PAIR_ENTRIES = 160_000, 150_000
 _NEVER = 1 << 60
+_BITS = 20
+_SHORT = (2, 1)
 
 
 class TrieBpe:
@@ -54,36 +57,44 @@ class TrieBpe:
         model = spec["model"]
         if model["type"] != "BPE" or spec["decoder"] is not None or spec["post_processor"] is not None:
             raise ValueError("a BPE file without decoder and post-processor is expected")
-        self.end = model["end_of_word_suffix"] or ""
+        end = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
-        self.text = {i: s for s, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        added = spec["added_tokens"]
+        size = max([*vocab.values(), *(t["id"] for t in added)]) + 1
+        if size >> _BITS:
+            raise ValueError("a vocabulary of less than a million tokens is expected")
         self.alphabet = dict(enumerate(byte_alphabet()))
-        self.merges: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.rank: dict[int, int] = {}
+        #: Rank of each mergeable pair, by both ids in one number; for each token the rank that makes it and its two parts.
+        self.merges: dict[int, int] = {}
+        self.rank, self.left, self.right = [-1] * size, [-1] * size, [-1] * size
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             whole, left, right = vocab[a + b], vocab[a], vocab[b]
-            self.merges.setdefault((left, right), rank)
-            if whole not in self.rank:
-                self.rank[whole], self.parts[whole] = rank, (left, right)
-        self.spines: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+            self.merges.setdefault(left << _BITS | right, rank)
+            if self.rank[whole] < 0:
+                self.rank[whole], self.left[whole], self.right[whole] = rank, left, right
         self.pairs: dict[int, bool] = {}
-        self.reach: dict[int, bool] = {}
-        added = spec["added_tokens"]
         own = {t["content"] for t in added}
+        reach: dict[int, bool] = {}
         #: Tokens by their symbols: inner ones and word-final ones.
-        usable = {s: i for s, i in vocab.items() if s not in own and self.reachable(i)}
-        self.inner = {s: i for s, i in usable.items() if not (self.end and s.endswith(self.end))}
-        self.final = {s[: -len(self.end)]: i for s, i in usable.items() if s.endswith(self.end)} if self.end else self.inner
-        self.sizes = {i: len(s) for part in (self.inner, self.final) for s, i in part.items()}
-        self.inner_endings, self.final_endings = self._endings(self.inner), self._endings(self.final)
+        usable = {s: i for s, i in vocab.items() if s not in own and self._reachable(i, reach)}
+        self.inner = {s: i for s, i in usable.items() if not (end and s.endswith(end))}
+        self.final = {s[: -len(end)]: i for s, i in usable.items() if s.endswith(end)} if end else self.inner
+        self.lengths = self._lengths(self.inner), self._lengths(self.final)
+        self.sizes = [0] * size
+        for part in (self.inner, self.final):
+            for s, i in part.items():
+                self.sizes[i] = len(s)
         self.special = special_splitter(sorted(own))
         self.added = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+        #: Ids by word: those met since the last turn, and those of the turn before.
         self.table: dict[str, bytes] = {}
-        self.names = np.empty(max(self.text) + 1, dtype=object)
-        for i, s in self.text.items():
+        self.older: dict[str, bytes] = {}
+        self.names = np.empty(size, dtype=object)
+        for s, i in vocab.items():
             self.names[i] = s
+        for t in added:
+            self.names[t["id"]] = t["content"]
         self.plain = model["dropout"] is None and not model["ignore_merges"] and self._known(spec)
 
     @staticmethod
@@ -92,34 +103,30 @@ class TrieBpe:
         return '"Removed"' in (s := json.dumps(spec["pre_tokenizer"])) and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in s and "Lowercase" in json.dumps(spec["normalizer"]) and "NFC" in json.dumps(spec["normalizer"])
 
     @staticmethod
-    def _endings(tokens: dict[str, int]) -> dict:
-        """A trie of the tokens read backwards; the empty string holds a node's token."""
-        root: dict = {}
-        for s, i in tokens.items():
-            node = root
-            for c in reversed(s):
-                node = node.setdefault(c, {})
-            node[""] = i
-        return root
-
-    def spine(self, token: int, side: int) -> tuple[list[int], list[int]]:
+    def _lengths(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
+        """The lengths of the tokens that end in the same three symbols, from the longest down; 2 and 1 come behind all."""
+        found: dict[str, set[int]] = {}
+        for s in tokens:
+            if len(s) > 2:
+                found.setdefault(s[-3:], {2, 1}).add(len(s))
+        kept: dict[tuple, tuple] = {}
+        return {end: kept.setdefault(own, own) for end, sizes in found.items() if (own := tuple(sorted(sizes, reverse=True)))}
+
+    def spine(self, token: int, side: list[int]) -> tuple[list[int], list[int]]:
         """The tokens at one edge of a token while it is built, and the rank at which each is merged away."""
-        got = self.spines.get((token, side))
-        if got is None:
-            chain, leaves = [token], [_NEVER]
-            while chain[-1] in self.parts:
-                leaves.append(self.rank[chain[-1]])
-                chain.append(self.parts[chain[-1]][side])
-            got = self.spines[(token, side)] = (chain[::-1], leaves[::-1])
-        return got
+        chain, leaves = [token], [_NEVER]
+        while self.rank[chain[-1]] >= 0:
+            leaves.append(self.rank[chain[-1]])
+            chain.append(side[chain[-1]])
+        return chain[::-1], leaves[::-1]
 
     def quiet(self, a: int, b: int) -> bool:
         """No merge crosses the border of a and b before both are whole."""
-        xs, nx = self.spine(a, 1)
-        ys, ny = self.spine(b, 0)
+        xs, nx = self.spine(a, self.right)
+        ys, ny = self.spine(b, self.left)
         i = j = 0
         while i < len(xs) - 1 or j < len(ys) - 1:
-            rank = self.merges.get((xs[i], ys[j]), _NEVER)
+            rank = self.merges.get(xs[i] << _BITS | ys[j], _NEVER)
             if rank < nx[i] and rank <= ny[j]:
                 return False
             if nx[i] <= ny[j]:
@@ -128,46 +135,52 @@ class TrieBpe:
                 j += 1
         return True
 
-    def reachable(self, token: int) -> bool:
-        if token not in self.parts:
+    def _reachable(self, token: int, known: dict[int, bool]) -> bool:
+        if self.rank[token] < 0:
             return True
-        got = self.reach.get(token)
+        got = known.get(token)
         if got is None:
-            a, b = self.parts[token]
-            got = self.reach[token] = self.reachable(a) and self.reachable(b) and self.quiet(a, b)
+            a, b = self.left[token], self.right[token]
+            got = known[token] = self._reachable(a, known) and self._reachable(b, known) and self.quiet(a, b)
         return got
 
     def follows(self, a: int, b: int) -> bool:
-        return (a, b) not in self.merges and self.quiet(a, b)
+        return a << _BITS | b not in self.merges and self.quiet(a, b)
 
     def encode_words(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """(word, ids) of distinct words of alphabet symbols, by depth-first traversal of their trie."""
+        """(word, ids) of distinct words of alphabet symbols, by depth-first traversal of their trie.
+
+        A node's last token is the one token that ends there, from the longest down, and may follow the last token of the
+        node where it starts.
+        """
         states, path = [-1], ""
         pairs, sizes = self.pairs, self.sizes
+        if len(pairs) > PAIR_ENTRIES:
+            pairs.clear()
+        inner, final = self.inner.get, self.final.get
         for word in sorted(words):
             shared, size = 0, len(word)
             most = min(len(path), size - 1, len(states) - 1)
             while shared < most and path[shared] == word[shared]:
                 shared += 1
             del states[shared + 1 :]
-            endings = self.inner_endings
+            find, lengths = inner, self.lengths[0]
             for to in range(shared + 1, size + 1):
-                node, start = self.final_endings if to == size else endings, to
-                while start:
-                    start -= 1
-                    node = node.get(word[start])
-                    if node is None:
-                        break
-                    if (token := node.get("")) is not None:
+                if to == size:
+                    find, lengths = final, self.lengths[1]
+                for length in lengths.get(word[to - 3 : to], _SHORT) if to > 2 else _SHORT:
+                    start = to - length
+                    token = find(word[start:to]) if start >= 0 else None
+                    if token is not None:
                         if not start:
                             break
-                        key = states[start] << 20 | token
-                        if (ok := pairs.get(key)) is None:
+                        key = states[start] << _BITS | token
+                        ok = pairs.get(key)
+                        if ok is None:
                             ok = pairs[key] = self.follows(states[start], token)
                         if ok:
                             break
-                        token = None
-                if token is None or node is None:
+                else:
                     raise ValueError(f"no token ends {word[:to]!r}")
                 states.append(token)
             path, at, ids = word, size, []
@@ -190,13 +203,15 @@ class TrieBpe:
         return ["\0" + x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(part)] if part else []
 
     def learn(self, words: set[str]) -> None:
-        """Encode the words that the table lacks."""
-        if len(self.table) > TABLE_ENTRIES:
-            self.table.clear()
-            words = words | set(self.added)
-        self.table |= {k: v for k, v in self.added.items() if k not in self.table}
+        """Bring the ids of all words into the table; only those are encoded that it has not met in this turn or the last."""
+        if len(self.table) > TABLE_ENTRIES // 2:
+            self.table, self.older = {}, self.table
+        self.table.update(self.added)
+        new = words.difference(self.table)
+        known = new & self.older.keys()
+        self.table.update(zip(known, map(self.older.__getitem__, known), strict=True))
         spelled: dict[str, list[str]] = {}
-        for w in words.difference(self.table):
+        for w in new - known:
             spelled.setdefault(w if w.isascii() and w.isprintable() else w[1:] if w[0] == "\0" else w.encode().decode("latin-1").translate(self.alphabet), []).append(w)
         for symbols, ids in self.encode_words(list(spelled)):
             value = pack(f"<{len(ids)}I", *ids)
@@ -235,9 +250,6 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
                 yield batch, [n, pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in got]), pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in got])]
             else:
                 yield batch, [n, pa.array([np.frombuffer(ids, "<i4") for ids, _ in got], pa.list_(pa.int32())), pa.array([text for _, text in got])]
-        # The tables go with the task; the next one builds them in about a second.
-        del own
-        encoder.cache_clear()
 
     return map_texts(docs, text_col, run, ddl)
 
@@ -247,8 +259,8 @@ def decode_ids(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]):
         own = encoder(tokenizer_path)
-        names = own.text
+        names = own.names
         for batch in batches:
-            yield batch, [pa.array([" ".join(names[i] for i in ids or () if i in names) for ids in batch.column(ids_col).to_pylist()], pa.string())]
+            yield batch, [pa.array([" ".join(names[i] for i in ids or () if i is not None and 0 <= i < len(names) and names[i] is not None) for ids in batch.column(ids_col).to_pylist()], pa.string())]
 
     return map_texts(rows, ids_col, run, "decoded string", keep_text=True)

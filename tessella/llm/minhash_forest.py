@@ -18,9 +18,10 @@ Candidates are confirmed on full shingle sets: 100 * intersection >= percent * u
 At 14 trees and depth 3 a pair of similarity 0.85 is missed with probability 1.2e-6.
 
 Defined cases: null, empty and wordless texts have empty sets and are linked with
-nothing; a text of fewer than five words is one shingle; rows of equal doc_id
-count as one document each but share their component; extra columns are ignored
-by `link_documents`.
+nothing; a text of fewer than five words is one shingle; rows are told apart by
+doc_id, and by doc_id and text where the doc_id is null or repeated: such rows are
+documents like any others, component_id is the least doc_id of the linked
+rows (null if none has one, and then all of them are kept); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,16 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._spark import cut_lineage, schema
+from ._spark import FEW, cut_lineage, map_batches, with_nodes
 from ._text import LOWER, NOT_SPACE, U64, buffer_of, mix, shingle_hash, span_hash, text_batches, word_spans
 
 TREES, LENGTH, DEPTHS, SMALL = 14, 8, (3, 4, 6, 8), 16
 SHINGLE = 5
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Counters of shingles by hash, which order a set from rare to common (any order is exact, a good one makes few candidates).
 SLOTS = 1 << 20
-#: Ids that a broadcast may hold (about 24 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 500_000
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +78,7 @@ def signatures(sets: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sign(docs: DataFrame, width: int, trees: int, length: int) -> DataFrame:
-    """doc_id, n, a 128-bit digest of the set in s1 and s2, sig."""
+    """doc_id, node, n, a 128-bit digest of the set in s1 and s2, sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
@@ -92,18 +91,18 @@ def _sign(docs: DataFrame, width: int, trees: int, length: int) -> DataFrame:
                     digest[k, some] = np.add.reduceat(mix(sets ^ U64(0x5851F42D4C957F2D + k)), at[:-1][some])
             sig = np.ascontiguousarray(signatures(sets, at, trees * length).astype(">u4"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in digest), pa.array([x.tobytes() for x in sig], pa.binary())],
-                names=["doc_id", "n", "s1", "s2", "sig"],
+                [batch.column("doc_id"), batch.column("node"), pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in digest), pa.array([x.tobytes() for x in sig], pa.binary())],
+                names=["doc_id", "node", "n", "s1", "s2", "sig"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema("doc_id long, n long, s1 long, s2 long, sig binary"))
+    return map_batches(docs, run, "doc_id long, node long, n long, s1 long, s2 long, sig binary")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ids = cut_lineage(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct())
-    small = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi").dropDuplicates(["id"])
+    small = ids.count() <= FEW
+    texts = docs.select(F.col("node").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi").dropDuplicates(["id"])
     both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +121,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
                 keep.append(100 * common >= percent * (len(z) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, schema("a long, b long"))
+    return map_batches(both.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
 def _pairs(rows: DataFrame, key: str, percent: int) -> DataFrame:
@@ -153,8 +152,8 @@ def _prefixes(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
     n - ceil(percent * n / 100) + 1 of the larger one, and in the rows marked low of the smaller one.
     Shingles of one class only are left out, positions count them.
     """
-    few = crowd.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(F.broadcast(crowd) if few else crowd, "rep").select("rep", "part", "text")
+    few = crowd.count() <= FEW
+    texts = docs.select(F.col("node").alias("rep"), "text").join(F.broadcast(crowd) if few else crowd, "rep").select("rep", "part", "text")
     shift = U64(64 - SLOTS.bit_length() + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +163,7 @@ def _prefixes(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some])], names=["slot", "m"])
 
-    found = texts.select("text").mapInArrow(count, schema("slot int, m long")).groupBy("slot").agg(F.sum("m").alias("m")).toArrow()
+    found = map_batches(texts.select("text"), count, "slot int, m long").groupBy("slot").agg(F.sum("m").alias("m")).toArrow()
     table = np.zeros(SLOTS, dtype=np.uint32)
     table[found.column("slot").to_numpy()] = np.minimum(found.column("m").to_numpy(), 0xFFFFFFFF)
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -187,7 +186,7 @@ def _prefixes(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
                 names=["rep", "part", "n", "token", "pos", "low"],
             )
 
-    return texts.mapInArrow(first, schema("rep long, part long, n int, token long, pos int, low boolean"))
+    return map_batches(texts, first, "rep long, part long, n int, token long, pos int, low boolean")
 
 
 def _across(crowd: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
@@ -207,12 +206,36 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def link_documents(docs: DataFrame, percent: int = 85, width: int = SHINGLE, trees: int = TREES, length: int = LENGTH, depths: tuple[int, ...] = DEPTHS, small: int = SMALL) -> DataFrame:
+def link_documents(docs: DataFrame, percent: int = 85, **options) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text)."""
+    nodes, odd = with_nodes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    linked = link_nodes(nodes, percent, **options)
+    if odd:
+        # A node need not be a doc_id here: a component goes by the least doc_id of its rows.
+        names = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        linked = linked.join(names, "component")
+    else:
+        linked = linked.withColumn("component_id", F.col("component"))
+    return linked.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def extra_copies(docs: DataFrame, percent: int = 85, **options) -> DataFrame:
+    """The nodes of docs (doc_id, node, text) that are linked with another one that stands for their component."""
+    linked = link_nodes(docs, percent, **options)
+    first = linked.filter("component <> node").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")).alias("f"))
+    own = F.col("component")
+    ahead = linked.filter("component = node").select("component", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node").alias("g"))
+    stays = first.join(ahead, "component").select(own, F.least("f", "g")["node"].alias("stays"))
+    return linked.join(stays, "component").filter("node <> stays").select("node").distinct()
+
+
+def link_nodes(docs: DataFrame, percent: int = 85, width: int = SHINGLE, trees: int = TREES, length: int = LENGTH, depths: tuple[int, ...] = DEPTHS, small: int = SMALL) -> DataFrame:
+    """doc_id, node, n_shingles and component (a node of the linked ones) for every row of docs (doc_id, node, text)."""
+    docs = docs.select("doc_id", "node", "text")
     signed = cut_lineage(_sign(docs, width, trees, length))
-    first = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
+    first = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("node").alias("rep"))
     member = cut_lineage(
-        signed.join(first, ["s1", "s2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("doc_id") == F.col("rep"), F.col("sig")).alias("sig"))
+        signed.join(first, ["s1", "s2", "n"], "left").select("doc_id", "node", F.col("n").alias("n_shingles"), F.coalesce("rep", "node").alias("rep"), F.when(F.col("node") == F.col("rep"), F.col("sig")).alias("sig"))
     )
     reps = member.filter("sig is not null").select("rep", F.col("n_shingles").alias("n"), "sig").dropDuplicates(["rep"])
 
@@ -264,5 +287,5 @@ def link_documents(docs: DataFrame, percent: int = 85, width: int = SHINGLE, tre
             new = cut_lineage(_confirm(more, docs, percent, width))
             if not new.isEmpty():
                 parts = components(links.unionAll(new))
-    out = member.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    out = member.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    return out.select("doc_id", "node", "n_shingles", F.coalesce("component", "rep").alias("component"))

@@ -24,8 +24,9 @@ Hashes have 64 bits and are compared only within one anchor, that is 128 bits.
 
 Defined cases: null and empty texts have no bytes and lose none; texts shorter
 than `length` are kept; cutting may split a character, so the kept bytes need not
-be UTF-8 (the text form leaves out the rest of a split character); rows of equal doc_id are separate texts
-only if their doc_ids differ, so doc_id must be unique; extra columns are ignored.
+be UTF-8 (the text form leaves out the rest of a split character); rows are told apart by doc_id, and by doc_id and
+text where the doc_id is null or repeated, so such rows are separate texts like any others; columns of docs with the
+name of a result or of `node` are left out.
 """
 
 from __future__ import annotations
@@ -40,17 +41,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut_lineage, schema
+from ._spark import FEW, cut_lineage, map_batches, release, with_nodes
 from ._text import U64, buffer_of, loads, mix, text_batches
 
 GRAM = 32
 #: Windows of a block, from step to step, where segments are split.
 CORES = (64, 16, 4, 1)
-BATCH_BYTES = 2 << 20
+#: Bytes that are looked through at once: about 100 bytes of working memory stand for each.
+BATCH_BYTES = 1 << 19
 BLOCK_BYTES = 1 << 18
 #: Segments of one anchor that a task may sort together.
 MOST = 1024
-BROADCAST_IDS = 500_000
 _SEP = 0xFF  # never a byte of UTF-8
 _A, _B = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 
@@ -214,38 +215,45 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     return of[first], anchor[first], start[first], start[last], grams[anchor[first]]
 
 
+def _stretches(data: np.ndarray, total: int, step: int, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, bytes, offsets) of parts of one text that hold `step` windows each."""
+    for a in range(0, total, step):
+        part = np.append(data[a : min(total, a + step + length - 1)], np.zeros(16, np.uint8))
+        yield a, part, np.array([0, len(part) - 16])
+
+
 def _scan(docs: DataFrame, length: int) -> DataFrame:
-    """anchor, seg (hashes), doc_id, at (first window), n (windows), back (anchor - first window) of every segment."""
+    """anchor, seg (hashes), node, at (first window), n (windows), back (anchor - first window) of every segment of docs (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             data, offsets = buffer_of(batch.column("text"))
             total, step = int(offsets[-1]), max(BATCH_BYTES, length)
             # A batch beyond the size is one long text: its windows are taken a stretch at a time.
-            stretches = [(0, data, offsets)] if batch.num_rows > 1 or total <= 2 * step else [(a, x, np.array([0, len(x) - 16])) for a in range(0, total, step) if (x := np.append(data[a : min(total, a + step + length - 1)], np.zeros(16, np.uint8))) is not None]
-            for base, data, offsets in stretches:
+            long = batch.num_rows == 1 and total > 2 * step
+            for base, data, offsets in _stretches(data, total, step, length) if long else [(0, data, offsets)]:
                 of, anchor, first, last, h = segments(data, offsets, length)
                 if not len(of):
                     continue
                 seg = _Sums(data, int(offsets[-1])).span(first, last + length)
-                ids = batch.column("doc_id").take(pa.array(of))
+                ids = batch.column("node").take(pa.array(of))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), ids, pa.array((first - offsets[of] + base).astype(np.int64)), pa.array((last - first + 1).astype(np.int32)), pa.array((anchor - first).astype(np.int32))],
-                    names=["anchor", "seg", "doc_id", "at", "n", "back"],
+                    names=["anchor", "seg", "node", "at", "n", "back"],
                 )
 
-    return docs.mapInArrow(run, schema("anchor long, seg long, doc_id long, at long, n int, back int"))
+    return map_batches(docs, run, "anchor long, seg long, node long, at long, n int, back int")
 
 
 # ---------------------------------------------------------------- stages
 
 
 def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The rows of wanted (doc_id, at, n, ...) with their bytes."""
-    names = [x for x in wanted.columns if x not in ("doc_id", "at", "n")]
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", *names)).alias("parts"))
+    """The rows of wanted (node, at, n, ...) with their bytes."""
+    names = [x for x in wanted.columns if x not in ("node", "at", "n")]
+    per_doc = wanted.groupBy("node").agg(F.collect_list(F.struct("at", "n", *names)).alias("parts"))
     kinds = {f.name: f.dataType.simpleString() for f in wanted.schema}
-    ddl = ", ".join(f"{x} {kinds[x]}" for x in ("doc_id", "at", "n", *names))
+    ddl = ", ".join(f"{x} {kinds[x]}" for x in ("node", "at", "n", *names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,17 +262,17 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 parts = batch.column("parts").slice(k, 1).flatten()
                 own = {x: pc.struct_field(parts, x) for x in ("at", "n", *names)}
                 cut = [raw[a : a + n + length - 1] for a, n in zip(own["at"].to_pylist(), own["n"].to_pylist(), strict=True)]
-                ids = pa.array(np.full(len(cut), batch.column("doc_id")[k].as_py(), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([ids, *own.values(), pa.array(cut, pa.binary())], names=["doc_id", *own, "bytes"])
+                ids = pa.array(np.full(len(cut), batch.column("node")[k].as_py(), dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([ids, *own.values(), pa.array(cut, pa.binary())], names=["node", *own, "bytes"])
 
-    return _with_texts(docs, per_doc, "inner").select("doc_id", "text", "parts").mapInArrow(run, schema(ddl + ", bytes binary"))
+    return map_batches(_with_texts(docs, per_doc, "inner").select("node", "text", "parts"), run, ddl + ", bytes binary")
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """Join rows (few documents) to their texts: only those documents' texts are moved."""
-    ids = rows.select("doc_id").distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").join(rows, "doc_id", how)
+    ids = rows.select("node").distinct()
+    few = ids.limit(FEW + 1).count() <= FEW
+    return docs.join(F.broadcast(ids) if few else ids, "node", "left_semi").join(rows, "node", how)
 
 
 def _sorted_repeats(pieces: DataFrame, length: int) -> DataFrame:
@@ -302,7 +310,7 @@ def _sorted_repeats(pieces: DataFrame, length: int) -> DataFrame:
             found += block(held)
         yield flush()
 
-    return pieces.select("anchor", "seg", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, schema("anchor long, seg long, lo long, hi long"))
+    return map_batches(pieces.select("anchor", "seg", "bytes").repartition("anchor").sortWithinPartitions("anchor"), run, "anchor long, seg long, lo long, hi long")
 
 
 def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
@@ -315,7 +323,7 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
     own = [x for x in ("anchor", "seg", "n", "back", "bytes", "only") if x in pieces.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_batches(batches, "bytes", BATCH_BYTES):
             data, offsets = buffer_of(batch.column("bytes"))
             sums = _Sums(data, int(offsets[-1]))
             n, back = (np.asarray(batch.column(x)).astype(np.int64) for x in ("n", "back"))
@@ -344,7 +352,7 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([batch.column("anchor").take(take), batch.column("seg").take(take), pa.array(lo), pa.array(hi), pa.array(o), pa.array(h.view(np.int64)), pa.array(u.view(np.int64), mask=~full)], names=["anchor", "seg", "lo", "hi", "o", "h", "u"])
 
-    return pieces.select(*own).mapInArrow(run, schema("anchor long, seg long, lo long, hi long, o long, h long, u long"))
+    return map_batches(pieces.select(*own), run, "anchor long, seg long, lo long, hi long, o long, h long, u long")
 
 
 def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
@@ -369,12 +377,12 @@ def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, length: int = 400, most: int = MOST) -> DataFrame:
-    """doc_id, lo, hi: runs of window starts in documents (doc_id, text) whose windows also start elsewhere."""
+    """node, lo, hi: runs of window starts in documents (node, text) whose windows also start elsewhere."""
     every = cut_lineage(_scan(docs, length))
     # Written first, so that a skewed side of the join can be split: it need not keep the aggregation's partitions.
     seen = cut_lineage(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     twice = cut_lineage(every.join(seen, "anchor"))
-    kinds = cut_lineage(twice.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "at", "n", "back")).alias("r")))
+    kinds = cut_lineage(twice.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "at", "n", "back")).alias("r")))
     sizes = cut_lineage(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"))
     wanted = cut_lineage(kinds.join(sizes, "anchor").select("anchor", "seg", "r.*", "kinds"))
     runs = kinds.filter("c > 1").select("anchor", "seg", F.lit(0).cast("long").alias("lo"), (F.col("r.n") - 1).cast("long").alias("hi"))
@@ -382,7 +390,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, most: int = MOST) -> Da
     crowded = wanted.filter(F.col("kinds") > most).drop("kinds")
     if not crowded.isEmpty():
         runs = runs.unionAll(_split_repeats(cut_lineage(_cut_out(docs, crowded, length)), length))
-    return twice.join(runs, ["anchor", "seg"]).select("doc_id", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
+    return twice.join(runs, ["anchor", "seg"]).select("node", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, outputs: str = "digests", most: int = MOST) -> DataFrame:
@@ -391,18 +399,27 @@ def remove_repeats(docs: DataFrame, length: int = 400, outputs: str = "digests",
     "digests": doc_id, n_bytes, n_removed, n_spans, kept_sha256. "text": the rows of docs with their text cut
     (rests of split characters are left out) and n_removed.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = repeated_windows(plain.filter(F.octet_length("text") >= length), length, most)
-    per_doc = cut_lineage(found.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
-    ids = per_doc.select("doc_id")
-    few = ids.count() <= BROADCAST_IDS
-    ids = F.broadcast(ids) if few else ids
-    keep = [x for x in docs.columns if x.lower() not in ("doc_id", "text", "n_removed", "n_bytes", "n_spans", "kept_sha256", "runs")] if outputs == "text" else []
-    rows = docs.select("doc_id", "text", *keep)
-    whole = rows.join(ids, "doc_id", "left_anti")
-    cut = rows.join(ids, "doc_id", "left_semi").join(per_doc, "doc_id")
+    results = ("n_removed", "n_bytes", "n_spans", "kept_sha256", "runs", "node")
+    keep = [x for x in docs.columns if x.lower() not in ("doc_id", "text", *results)] if outputs == "text" else []
+    every, odd = with_nodes(docs.select("doc_id", "text", *keep))
+    plain = every.select("doc_id", "node", F.coalesce("text", F.lit("")).alias("text"))
+    copies = None
+    if odd:
+        # Equal rows count once in the search; all of their windows are known to repeat.
+        own = F.col("doc_id").isNotNull() & (F.col("doc_id").cast("long") == F.col("node"))
+        rest = cut_lineage(plain.filter(~own).groupBy("node").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("c")))
+        copies = rest.filter((F.col("c") > 1) & (F.octet_length("text") >= length)).select("node", F.lit(0).cast("long").alias("lo"), (F.octet_length("text") - length).cast("long").alias("hi"))
+        plain = plain.filter(own).select("node", "text").unionAll(rest.select("node", "text"))
+    found = repeated_windows(plain.filter(F.octet_length("text") >= length).select("node", "text"), length, most)
+    found = found if copies is None else found.unionAll(copies)
+    per_doc = cut_lineage(found.groupBy("node").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
+    ids = per_doc.select("node")
+    ids = F.broadcast(ids) if ids.count() <= FEW else ids
+    rows = every.select("doc_id", "text", *keep, "node")
+    whole = rows.join(ids, "node", "left_anti")
+    cut = rows.join(ids, "node", "left_semi").join(per_doc, "node")
     if outputs == "text":
-        whole = whole.select(*rows.columns, F.lit(0).cast("long").alias("n_removed"))
+        whole = whole.select("doc_id", "text", *keep, F.lit(0).cast("long").alias("n_removed"))
     else:
         text = F.coalesce("text", F.lit(""))
         whole = whole.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
@@ -428,5 +445,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, outputs: str = "digests",
             else:
                 columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in texts])]
             yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
+        release()
 
     return whole.unionAll(cut.mapInArrow(run, whole.schema))
