@@ -7,11 +7,13 @@ bounded sample, deals the classes to blocks of about `block` vectors; a block th
 still holds more is cut by a hash. Two blocks meet only if the boxes of their
 coordinates allow a cosine of the threshold.
 
-Where two blocks meet, tiles are compared by leading axes first: the partial
-product plus the product of the suffix norms bounds the cosine, and a tile pair
-stops as soon as no pair in it can reach the threshold. What remains is computed
-on the given vectors in double precision. A task returns the number of links of each
-vector and a spanning forest of them, so dense families do not give all pairs.
+Blocks meet twice. First with codes only: the leading sixteen coordinates in single precision and the
+norms of what is left behind the eighth and the sixteenth. Tile by tile the partial product plus the
+product of the suffix norms bounds the cosine, and a tile pair stops as soon as no pair in
+it can reach the threshold. Only vectors with a partner that the bound leaves over travel whole to a second meeting,
+where the remaining dimensions are accumulated with the same stops and the cosine is computed on the given vectors in
+double precision. A task returns the number of links of each vector and a spanning forest of them, so dense families
+do not give all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing (n_links 0, own component); vectors of different
@@ -31,14 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._spark import cut_lineage, schema
+from ._spark import cut_lineage, map_batches
 
 BLOCK = 8192
+#: Bytes of whole vectors that a block may hold, whatever their dimension.
+BLOCK_BYTES = 32 << 20
 TILE = 256
 SAMPLE_ROWS = 20_000
-#: Leading axes after which a tile pair is judged.
-STAGES = (8, 16, 32)
-_SLACK = 1e-9
+#: Leading axes after which a tile pair is judged; those of a vector's code.
+STAGES, CODE = (8, 16, 32), (8, 16)
+#: Rounding of a bound in double and in single precision.
+_SLACK, _SINGLE = 1e-9, 1e-5
 
 
 def _unit(column: pa.Array) -> list[np.ndarray | None]:
@@ -68,7 +73,7 @@ def _classes(vectors: DataFrame) -> DataFrame:
             keys = [None if u is None else hashlib.blake2b(u, digest_size=16).digest() for u in units]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "key", "unit"])
 
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, schema("vec_id long, key binary, unit binary"))
+    return map_batches(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"), run, "vec_id long, key binary, unit binary")
 
 
 def _basis(classes: DataFrame, dims: int) -> np.ndarray:
@@ -83,7 +88,7 @@ def _basis(classes: DataFrame, dims: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims)), pa.array(total.ravel())], names=["at", "s"])
 
     moments = np.zeros(dims * dims)
-    for r in classes.select("unit").mapInArrow(run, schema("at long, s double")).groupBy("at").agg(F.sum("s").alias("s")).collect():  # dims * dims rows
+    for r in map_batches(classes.select("unit"), run, "at long, s double").groupBy("at").agg(F.sum("s").alias("s")).collect():  # dims * dims rows
         moments[r.at] = r.s
     _, axes = np.linalg.eigh(moments.reshape(dims, dims))
     return np.ascontiguousarray(axes[:, ::-1])
@@ -148,6 +153,39 @@ def compare(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, sa
             yield p[sure], q[sure]
 
 
+def code_of(coords: np.ndarray) -> np.ndarray:
+    """The code of each vector from its coordinates: leading ones, then the norms behind each stage."""
+    stages = [min(c, coords.shape[1]) for c in CODE]
+    tails = [np.sqrt(np.maximum(0, 1 - (coords[:, :s] ** 2).sum(axis=1, keepdims=True))) for s in stages]
+    return np.hstack([coords[:, : stages[-1]], *tails]).astype(np.float32)
+
+
+def possible(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which vectors of x and of y have a partner that the bounds of their codes do not rule out (itself is none)."""
+    width = x.shape[1] - len(CODE)
+    stages = [min(c, width) for c in CODE]
+    ox = np.argsort(x[:, 0], kind="stable")
+    oy = ox if same else np.argsort(y[:, 0], kind="stable")
+    some_x, some_y = np.zeros(len(x), dtype=bool), np.zeros(len(y), dtype=bool)
+    for i in range(0, len(ox), TILE):
+        a = ox[i : i + TILE]
+        for j in range(i if same else 0, len(oy), TILE):
+            b = oy[j : j + TILE]
+            part, done, live = np.zeros((len(a), len(b)), dtype=np.float32), 0, None
+            for k, s in enumerate(stages):
+                part += x[a, done:s] @ y[b, done:s].T
+                done = s
+                live = part + x[a, width + k, None] * y[None, b, width + k] >= threshold - _SINGLE
+                if same and i == j:
+                    np.fill_diagonal(live, False)
+                if not live.any():
+                    break
+            else:
+                some_x[a] |= live.any(axis=1)
+                some_y[b] |= live.any(axis=0)
+    return (some_x | some_y,) * 2 if same else (some_x, some_y)
+
+
 class _Forest:
     """Union-find over the rows of a task."""
 
@@ -194,31 +232,51 @@ def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tu
     """(rep, links) partial counts and (a, b) links of a spanning forest, of unit vectors of one dimension."""
     axes = _basis(reps, dims)
     n = reps.count()
+    block = max(16, min(block, BLOCK_BYTES // (8 * dims)))
     lead = axes[:, : min(8, dims)]
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
-    sample = reps.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).select("unit").limit(2 * SAMPLE_ROWS).collect()
-    coords = np.array([np.frombuffer(r.unit) for r in sample]).reshape(-1, dims) @ lead
+    sample = reps.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).select("unit").limit(2 * SAMPLE_ROWS)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.frombuffer(b"".join(batch.column("unit").to_pylist())).reshape(-1, dims) @ lead
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes() for c in x], pa.binary())], names=["c"])
+
+    coords = np.array([np.frombuffer(r.c) for r in map_batches(sample, project, "c binary").collect()]).reshape(-1, lead.shape[1])
     levels = min(14, max(0, int(np.ceil(np.log2(max(1, n / block))))))
     tree = _splits(coords, levels)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.frombuffer(b"".join(batch.column("unit").to_pylist())).reshape(-1, dims)
-                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), batch.column("unit"), pa.array(_leaf(x @ lead, tree, levels))], names=["rep", "copies", "unit", "leaf"])
+                x = np.frombuffer(b"".join(batch.column("unit").to_pylist())).reshape(-1, dims) @ axes
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([c.tobytes() for c in code_of(x)], pa.binary()), pa.array(_leaf(x, tree, levels))], names=["rep", "code", "leaf"])
 
-    dealt = cut_lineage(reps.select("rep", "copies", "unit").mapInArrow(deal, schema("rep long, copies long, unit binary, leaf long")))
+    dealt = cut_lineage(map_batches(reps.select("rep", "unit"), deal, "rep long, code binary, leaf long"))
     crowd = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"))
     # A leaf of more than the wanted size is cut by a hash, so no block grows with its neighbourhood.
     dealt = cut_lineage(dealt.join(crowd, "leaf").withColumn("block", F.concat_ws(".", "leaf", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / F.lit(block))))).drop("leaf", "m"))
+    width = min(CODE[-1], dims)
 
-    def box(key, rows: pd.DataFrame) -> pd.DataFrame:
-        r = np.frombuffer(b"".join(rows["unit"])).reshape(-1, dims) @ axes
-        return pd.DataFrame({"block": [key[0]], "low": [r.min(axis=0).tolist()], "high": [r.max(axis=0).tolist()]})
-
-    # One row of 16 * dims bytes for each block of thousands of vectors.
-    boxes = dealt.groupBy("block").applyInPandas(box, "block string, low array<double>, high array<double>").orderBy("block").collect()
-    names, low, high = [b.block for b in boxes], np.array([b.low for b in boxes]), np.array([b.high for b in boxes])
+    def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row of a block and batch: the least and the largest coordinates of the codes."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            r = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.float32).reshape(-1, width + len(CODE))
+            coded = batch.column("block").dictionary_encode()
+            which = coded.indices.to_numpy()
+            for k, name in enumerate(coded.dictionary.to_pylist()):
+                own = r[which == k]
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([own.min(axis=0).astype(np.float64)], pa.list_(pa.float64())), pa.array([own.max(axis=0).astype(np.float64)], pa.list_(pa.float64()))], names=["block", "low", "high"])
+
+    per_axis = map_batches(dealt.select("block", "code"), box, "block string, low array<double>, high array<double>").select("block", F.posexplode(F.arrays_zip("low", "high")).alias("axis", "x"))
+    least = per_axis.groupBy("block", "axis").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    # One row of some 300 bytes for each block of thousands of vectors.
+    boxes = least.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("axis", "low", "high"))).alias("b")).orderBy("block").collect()
+    names = [r.block for r in boxes]
+    low, high = (np.array([[x[k] for x in r.b] for r in boxes]).reshape(len(boxes), -1) for k in (1, 2))
     spark = reps.sparkSession
     shared = spark.sparkContext.broadcast((names, low, high))
 
@@ -226,17 +284,32 @@ def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tu
         names, low, high = shared.value
         for batch in batches:
             for i in batch.column("id").to_pylist():
-                best = np.maximum(np.maximum(low[i] * low[i:], low[i] * high[i:]), np.maximum(high[i] * low[i:], high[i] * high[i:])).sum(axis=1)
-                near = i + np.flatnonzero(best >= threshold - _SLACK)
+                a, b = (slice(None), slice(0, width)), -1
+                best = np.maximum(np.maximum(low[i] * low[i:], low[i] * high[i:]), np.maximum(high[i] * low[i:], high[i] * high[i:]))
+                near = i + np.flatnonzero(best[a].sum(axis=1) + best[:, b] >= threshold - _SINGLE)
                 near = np.union1d(near, [i])
                 yield pa.RecordBatch.from_arrays([pa.array([names[i]] * len(near)), pa.array([names[j] for j in near])], names=["x", "y"])
 
-    pairs = cut_lineage(spark.range(len(names)).mapInArrow(meet, schema("x string, y string")))
+    pairs = cut_lineage(map_batches(spark.range(len(names)), meet, "x string, y string"))
     sides = pairs.select("x", "y", F.col("x").alias("block"), F.lit(0).alias("side")).unionAll(pairs.filter("x <> y").select("x", "y", F.col("y").alias("block"), F.lit(1).alias("side")))
 
+    def judge(key, rows: pd.DataFrame) -> pd.DataFrame:
+        same = key[0] == key[1]
+        own = [rows[rows["side"] == s] for s in (0, 0 if same else 1)]
+        x, y = (np.frombuffer(b"".join(o["code"]), np.float32).reshape(-1, width + len(CODE)) for o in own)
+        keep = possible(x, y, threshold, same)
+        kept = [o[k] for o, k in zip(own, keep, strict=True)][: 1 if same else 2]
+        return pd.concat(kept)[["rep", "side"]].assign(x=key[0], y=key[1])
+
+    whole = reps.select("rep", "copies", "unit")
+    chosen = dealt.join(sides, "block").groupBy("x", "y").applyInPandas(judge, "rep long, side int, x string, y string")
+    met = cut_lineage(chosen).join(whole, "rep")
+
     def join_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
         same = key[0] == key[1]
         own = [rows[rows["side"] == s] for s in (0, 0 if same else 1)]
+        if not all(map(len, own)):
+            return pd.DataFrame({"rep": [], "links": [], "b": pd.array([], dtype="Int64")})
         x, y = (np.frombuffer(b"".join(o["unit"])).reshape(-1, dims) for o in own)
         (ids, idy), (cx, cy) = ([o["rep"].to_numpy() for o in own], [o["copies"].to_numpy() for o in own])
         nx, ny = np.zeros(len(x), dtype=np.int64), np.zeros(len(y), dtype=np.int64)
@@ -255,5 +328,5 @@ def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tu
             out = pd.concat([out, pd.DataFrame({"rep": [e[0] for e in edges], "links": 0, "b": pd.array([e[1] for e in edges], dtype="Int64")})])
         return out
 
-    found = cut_lineage(dealt.join(sides, "block").groupBy("x", "y").applyInPandas(join_blocks, "rep long, links long, b long"))
+    found = cut_lineage(met.groupBy("x", "y").applyInPandas(join_blocks, "rep long, links long, b long"))
     return found.filter("b is null").select("rep", "links"), found.filter("b is not null").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
