@@ -3,22 +3,27 @@
 The pieces of an existing vocabulary span a lattice over each word (a space and the
 word's bytes; single bytes always fit). Log-probabilities of the pieces weight
 all segmentations, and a forward recursion in log space gives a word's marginal
-probability. The weights start from the vocabulary file's own scores, whose order
-is taken as a Zipf rank, and are re-estimated from the counts of all training words by
-expectation-maximisation, with forward-backward over the same lattices. One more arc spans each whole
-word and carries its training count: P(word) = (count + theta * lattice) / (N + theta), with
-theta chosen by leave-one-out likelihood over all training words. A document's probability is the
-product over its words and one end token, each given the words before it in the document: the
-t-th word w that stood k times before has probability (k + a * P(w)) / (t - 1 + a), with a = 2000.
+probability. The weights start from the vocabulary file's own scores (where these are ranks of merges,
+their order is taken as a Zipf rank) and are re-estimated on all training words by
+expectation-maximisation, with forward-backward over the same lattices.
+
+A word of the training rows has one more segmentation, the word as a whole, with its discounted
+count: (count - D) / N with D = n1 / (n1 + 2 n2) from the numbers of words seen once and twice. What the discount
+takes, D * V / N, is the weight of going through the pieces, so each of the V words counts D times
+in their estimation. P(word) = max(count - D, 0) / N + D * V / N * marginal: a frequent word lives by its count, a rare one mostly and an unknown
+one wholly by the lattice. A document's probability is the product over its words and one end token. Weights of all
+words and pieces sum to one over all documents.
 
 Words are counted by block: a task reduces a block of documents to its distinct words, so a
 frequent word is one row a block and not one row a document, and the counts come
-back to the block the same way. Nothing of the size of the vocabulary is broadcast or collected.
+back to the block the same way. The blocks' codes are written once and only read after that, so a repeated task cannot
+number them otherwise. Nothing of the size of the vocabulary is broadcast or collected.
 
 Defined cases: null and empty texts hold the end token alone; without training
 documents N and V are 0 and every word has the lattice's probability alone; words of any length are scored
 whole; repeated rows count as often as they stand; doc_id may be null (never held out); other
-columns are ignored.
+columns are ignored. Pieces with A-Z or with a space behind their first byte are not in the lattice: no lower-cased word
+holds them.
 """
 
 from __future__ import annotations
@@ -34,16 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut_lineage, schema
+from ._spark import cut_lineage, map_batches, release
 from ._text import _KEEP, LOWER, NOT_SPACE, U64, buffer_of, loads, mix, span_hash, text_batches, word_spans
 
 BLOCK_BYTES = 16 << 20
-LONGEST = 16
 ROUNDS = 2
-#: Shares of N tried for theta.
-THETAS = (0.003, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0)
-#: Words that P counts as, against the document's own words so far.
-CONCENTRATION = 2000.0
 _LN10 = math.log(10)
 _MULT = U64(0x9E3779B97F4A7C15)
 _NEG = -1e30
@@ -60,7 +60,7 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
             continue
         piece = model.id_to_piece(i).replace("▁", " ").encode()
-        if 0 < len(piece) <= LONGEST and piece.rfind(b" ") <= 0 and not any(65 <= b <= 90 for b in piece):
+        if piece and piece.rfind(b" ") <= 0 and not any(65 <= b <= 90 for b in piece):
             seen[piece] = max(seen.get(piece, -1e9), model.get_score(i))
     pieces = list(seen)
     rank = -np.array([seen[p] for p in pieces])
@@ -69,9 +69,11 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
 
 
 def _keys(load: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    if size <= 8:
-        return load[at] & _KEEP[size]
-    return mix(load[at] * _MULT + (load[at + 8] & _KEEP[size - 8]))
+    """A number for the `size` bytes at each place: the bytes themselves up to eight, a hash beyond."""
+    key = load[at] & _KEEP[min(size, 8)]
+    for k in range(8, size, 8):
+        key = mix(key * _MULT + (load[at + k] & _KEEP[min(size - k, 8)]))
+    return key
 
 
 class Lattice:
@@ -80,10 +82,11 @@ class Lattice:
     def __init__(self, pieces: list[bytes], logp: np.ndarray):
         self.logp = logp
         self.tables = {}
-        for size in range(2, LONGEST + 1):
+        self.longest = max(map(len, pieces))
+        for size in range(2, self.longest + 1):
             own = [i for i, p in enumerate(pieces) if len(p) == size]
             if own:
-                load = loads(np.frombuffer(b"".join(pieces[i] for i in own) + b"\0" * 24, dtype=np.uint8))
+                load = loads(np.frombuffer(b"".join(pieces[i] for i in own) + b"\0" * (size + 16), dtype=np.uint8))
                 keys = _keys(load, np.arange(len(own)) * size, size)
                 order = np.argsort(keys)
                 maybe = np.zeros(1 << 18, dtype=bool)
@@ -92,7 +95,7 @@ class Lattice:
 
     def _ids(self, text: np.ndarray, n: int, length: int) -> np.ndarray:
         """Piece ids [size, word, start] of n words of one length laid end to end; -1 where no piece fits."""
-        top = min(LONGEST, length)
+        top = min(self.longest, length)
         ids = np.full((top + 1, n, length), -1, dtype=np.int32)
         ids[1] = text[: n * length].reshape(n, length)
         load = loads(text)
@@ -124,22 +127,22 @@ class Lattice:
             for c in range(0, len(every), step):
                 rows = every[c : c + step]
                 n = len(rows)
-                text = np.frombuffer(b"".join(b" " + words[i] for i in rows) + b"\0" * 24, dtype=np.uint8)
+                text = np.frombuffer(b"".join(b" " + words[i] for i in rows) + b"\0" * (self.longest + 16), dtype=np.uint8)
                 ids = self._ids(text, n, length)
-                top = ids.shape[0] - 1
+                used = [k for k in range(1, ids.shape[0]) if k == 1 or (ids[k] >= 0).any()]
                 lp = np.where(ids >= 0, self.logp[ids], _NEG)
                 ahead = np.zeros((length + 1, n))
                 for t in range(1, length + 1):
-                    sizes = range(1, min(top, t) + 1)
+                    sizes = [k for k in used if k <= t]
                     ahead[t] = self._sum(np.stack([ahead[t - s] + lp[s, :, t - s] for s in sizes]))
                 out[rows] = ahead[length]
                 if counts is not None:
                     back = np.zeros((length + 1, n))
                     for t in range(length - 1, -1, -1):
-                        sizes = range(1, min(top, length - t) + 1)
+                        sizes = [k for k in used if k <= length - t]
                         back[t] = self._sum(np.stack([back[t + s] + lp[s, :, t] for s in sizes]))
                     base = weights[rows] - 0.0
-                    for s in range(1, top + 1):
+                    for s in used:
                         w = np.exp(ahead[: length - s + 1].T + lp[s, :, : length - s + 1] + back[s:].T - ahead[length][:, None]) * base[:, None]
                         own = ids[s, :, : length - s + 1]
                         good = own >= 0
@@ -154,14 +157,17 @@ class LatticeModel:
     total: int
     distinct: int
     ends: int
-    theta: float
+    discount: float
 
     def word_log10(self, lattice: np.ndarray, count: np.ndarray) -> np.ndarray:
         """log10 P of words with these log marginals and training counts."""
         if not self.total:
             return lattice / _LN10
+        words = self.distinct - (self.ends > 0)
+        through = math.log(self.discount * words) if words else 0.0
         with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(count.astype(np.float64)), math.log(self.theta) + lattice) / _LN10 - math.log10(self.total + self.theta)
+            whole = np.log(np.maximum(count - self.discount, 0.0))
+        return (np.logaddexp(whole, through + lattice) - math.log(self.total)) / _LN10
 
 
 _KEPT: dict[int, Lattice] = {}
@@ -201,7 +207,7 @@ def _blocks(docs: DataFrame, kernel, ddl: str) -> DataFrame:
         if held:
             yield from work()
 
-    return docs.mapInArrow(run, schema(ddl))
+    return map_batches(docs, run, ddl)
 
 
 def _distinct(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,49 +232,37 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def fit(words: DataFrame, ends: int, path: str, rounds: int = ROUNDS) -> LatticeModel:
-    """Estimate the piece weights and theta from the word table (word, c) and the number of training documents."""
+    """Estimate piece weights and discount from the word table (word, c) and the number of training documents."""
     trained = words.filter("c > 0")
-    r = trained.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).head()
+    r = trained.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).head()
     pieces, logp = vocabulary(path)
-    model = LatticeModel(path, logp, r.n + ends, r.v + (ends > 0), ends, 1.0)
+    model = LatticeModel(path, logp, r.n + ends, r.v + (ends > 0), ends, r.once / (r.once + 2 * r.twice) if r.once else 0.5)
     if not r.n:
         return model
 
     def expect(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
         own, total = _lattice(path, weights), np.zeros(len(weights))
         for batch in batches:
-            total += own.run(batch.column("word").to_pylist(), np.asarray(batch.column("c")).astype(np.float64))[1]
+            total += own.run(batch.column("word").to_pylist(), np.ones(batch.num_rows))[1]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "e"])
 
     for _ in range(rounds):
         weights = model.logp
-        e = np.full(len(pieces), 0.5)
-        for row in trained.select("word", "c").mapInArrow(lambda b, w=weights: expect(b, w), schema("piece long, e double")).groupBy("piece").agg(F.sum("e").alias("e")).collect():  # one row a piece
+        e = np.full(len(pieces), 0.01)
+        for row in map_batches(trained.select("word"), lambda b, w=weights: expect(b, w), "piece long, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect():  # one row a piece
             e[row.piece] += row.e
         model.logp = np.log(e / e.sum())
-    weights, n = model.logp, model.total
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = _lattice(path, weights), np.zeros(len(THETAS))
-        for batch in batches:
-            lattice, c = own.run(batch.column("word").to_pylist())[0], np.asarray(batch.column("c")).astype(np.float64)
-            for k, share in enumerate(THETAS):
-                with np.errstate(divide="ignore"):
-                    total[k] += (c * (np.logaddexp(np.log(c - 1), math.log(share * n) + lattice) - math.log(n - 1 + share * n))).sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(THETAS))), pa.array(total)], names=["k", "l"])
-
-    best = max(trained.select("word", "c").mapInArrow(judge, schema("k long, l double")).groupBy("k").agg(F.sum("l").alias("l")).collect(), key=lambda r: (r.l, -r.k))
-    model.theta = THETAS[best.k] * n
     return model
 
 
 def score_documents(docs: DataFrame, held_out: Column, path: str, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs (doc_id, text)."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and score_per_token of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     words = cut_lineage(count_words(docs))
     model = fit(words, docs.filter(~F.col("held_out")).count(), path, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def marginals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -277,21 +271,27 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, rounds: int =
             lp = m.word_log10(own.run(batch.column("word").to_pylist())[0], np.asarray(batch.column("c")))
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("c"), pa.array(lp)], names=["h", "c", "lp"])
 
-    valued = words.select("word", "h", "c").mapInArrow(marginals, schema("h long, c long, lp double"))
-
-    def vocabulary_rows(block, batch, data, begins, ends, first):
-        h = np.unique(span_hash(data, begins, ends))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h.view(np.int64))], names=["block", "local", "h"])
+    valued = map_batches(words.select("word", "h", "c"), marginals, "h long, c long, lp double")
 
-    def document_rows(block, batch, data, begins, ends, first):
-        which = _distinct(data, begins, ends)[2].astype("<i4").ravel()
+    def codes(block, batch, data, begins, ends, first):
+        """The documents of a block as places in its list of words; the list (its hashes) stands with the first of them."""
+        h, _, which = _distinct(data, begins, ends)
+        which = which.astype("<i4").ravel()
         for k in range(0, batch.num_rows, 2000):
             part = batch.slice(k, 2000)
             ids = [which[a:b].tobytes() for a, b in zip(first[k : k + part.num_rows], first[k + 1 : k + 1 + part.num_rows], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("held_out"), pa.array(ids, pa.binary())], names=["block", "doc_id", "held_out", "ids"])
+            own = [h.tobytes() if not k + i else None for i in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("held_out"), pa.array(ids, pa.binary()), pa.array(own, pa.binary())], names=["block", "doc_id", "held_out", "ids", "words"])
 
-    back = _blocks(docs, vocabulary_rows, "block long, local int, h long").join(valued, "h").select("block", "local", "c", "lp")
-    rows = _blocks(docs, document_rows, f"block long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, ids binary")
+    coded = cut_lineage(_blocks(docs, codes, f"block long, doc_id {kind}, held_out boolean, ids binary, words binary"))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                h = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h)], names=["block", "local", "h"])
+
+    back = map_batches(coded.filter("words is not null").select("block", "words"), listed, "block long, local int, h long").join(valued, "h").select("block", "local", "c", "lp")
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
@@ -299,24 +299,15 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, rounds: int =
         c[right["local"]], lp[right["local"]] = right["c"], right["lp"]
         base = np.log10((c + 0.1) / (m.total + 0.1 * (m.distinct + 1)))
         end = math.log10((m.ends + 0.1) / (m.total + 0.1 * (m.distinct + 1)))
-        model_end = math.log10(m.ends / (m.total + m.theta)) if m.ends else 0.0
+        model_end = math.log10(m.ends / m.total) if m.ends else 0.0
         ids = [np.frombuffer(x, "<i4") for x in left["ids"]]
-        prior = math.log(CONCENTRATION)
-
-        def scored(x: np.ndarray) -> float:
-            order = np.argsort(x, kind="stable")
-            place = np.arange(len(x))
-            new = np.append(True, x[order][1:] != x[order][:-1])[: len(x)]
-            before = np.empty(len(x))
-            before[order] = place - np.maximum.accumulate(np.where(new, place, 0))
-            with np.errstate(divide="ignore"):
-                p = np.logaddexp(np.log(before), prior + lp[x] * _LN10) - np.log(place + CONCENTRATION)
-            return float(p.sum() + prior - math.log(len(x) + CONCENTRATION)) / _LN10 + model_end
-
-        return pd.DataFrame({
+        score = [float(lp[x].sum()) + model_end for x in ids]
+        out = pd.DataFrame({
             "doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": [len(x) + 1 for x in ids], "n_known": [int((c[x] > 0).sum()) + (m.ends > 0) for x in ids],
-            "train_tokens": m.total, "base_score": [float(base[x].sum()) + end for x in ids], "score": [scored(x) for x in ids],
+            "train_tokens": m.total, "base_score": [float(base[x].sum()) + end for x in ids], "score": score, "score_per_token": [s / (len(x) + 1) for s, x in zip(score, ids, strict=True)],
         })
+        release()
+        return out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(add_up, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    ddl = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, score_per_token double"
+    return coded.drop("words").groupBy("block").cogroup(back.groupBy("block")).applyInPandas(add_up, ddl)
