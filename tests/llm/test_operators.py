@@ -199,14 +199,42 @@ def test_lattice_sums_all_segmentations():
     def brute(text):
         if not text:
             return 1.0
-        return sum(math.exp(table[text[:k]]) * brute(text[k:]) for k in range(1, min(16, len(text)) + 1) if text[:k] in table)
+        return sum(math.exp(table[text[:k]]) * brute(text[k:]) for k in range(1, len(text) + 1) if text[:k] in table)
 
-    words = [b"a", b"the", b"station", "é".encode(), b"\xf0\x9f", b"thth,"]
+    longest = max(pieces, key=len)
+    assert len(longest) > 16
+    words = [longest.strip(), b"a", b"the", b"station", "é".encode(), b"\xf0\x9f", b"thth,"]
     got, counts = lm_lattice.Lattice(pieces, logp).run(words, np.ones(len(words)))
     assert np.allclose(np.exp(got), [brute(b" " + w) for w in words])
     assert math.isclose(sum(c * len(p) for c, p in zip(counts, pieces, strict=True)), sum(len(w) + 1 for w in words))
 
 
+def reference_lm(train, tokens):
+    """The probabilities of tokens (None: the end) by listing every segmentation."""
+    pieces, logp = lm_lattice.vocabulary(PIECE)
+    weight = dict(zip(pieces, np.exp(logp), strict=True))
+
+    def ways(text):
+        return [[]] if not text else [[text[:k], *rest] for k in range(1, len(text) + 1) if text[:k] in weight for rest in ways(text[k:])]
+
+    seen = [w for t in train for w in t]
+    counts = {w: seen.count(w) for w in seen if w is not None}
+    once, twice = (sum(c == n for c in counts.values()) for n in (1, 2))
+    discount = once / (once + 2 * twice) if once else 0.5
+    every = {w: ways(b" " + w.encode()) for w in {*counts, *(w for w in tokens if w is not None)}}
+    for _ in range(lm_lattice.ROUNDS):
+        e = dict.fromkeys(weight, 0.01)
+        for w in counts:
+            p = [math.prod(weight[x] for x in way) for way in every[w]]
+            for way, q in zip(every[w], p, strict=True):
+                for x in way:
+                    e[x] += q / sum(p)
+        total = sum(e.values())
+        weight = {x: v / total for x, v in e.items()}
+    marginal = {w: sum(math.prod(weight[x] for x in way) for way in own) for w, own in every.items()}
+    return [seen.count(None) / len(seen) if w is None else (max(counts.get(w, 0) - discount, 0) + discount * len(counts) * marginal[w]) / len(seen) for w in tokens]
+
+
 def test_lm_scores(spark):
     texts = [None, "", "the cat the", "a cat", "The dog " * 50, "zzzz qqq"]
     df = docs(spark, texts)
@@ -217,7 +245,8 @@ def test_lm_scores(spark):
     for k, t in enumerate(tokens):
         assert (got[k].n_tokens, got[k].n_known, got[k].train_tokens, got[k].held_out) == (len(t), sum(w in seen for w in t), n, k == 5)
         assert math.isclose(got[k].base_score, sum(math.log10((seen.count(w) + 0.1) / (n + 0.1 * (v + 1))) for w in t))
-        assert -1e6 < got[k].score < 0
+        assert math.isclose(got[k].score, sum(math.log10(p) for p in reference_lm([t for t in tokens[:5]], t)), rel_tol=1e-9)
+        assert math.isclose(got[k].score_per_token, got[k].score / len(t))
     assert lm_lattice.score_documents(empty(spark), F.lit(False), PIECE).count() == 0
 
 
