@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import css as C
 from .functions import geometry as G
 from .functions import text as X
-from .operators import dedup, documents, graph, integrity, spatial
+from .operators import dedup, documents, errors, graph, integrity, spatial
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,7 +50,7 @@ def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LINES = """lines AS (SELECT c_custkey AS line, c_custkey AS ord, CAST(c_custkey % 40 AS INT) AS sheet, CASE WHEN c_custkey % 5 = 0 THEN concat('L', CAST(c_custkey % 97 AS VARCHAR)) END AS label,
+_LINES = """lines AS (SELECT c_custkey AS line, c_custkey AS ord, CAST(c_custkey // 40 AS INT) AS sheet, CASE WHEN c_custkey % 5 = 0 THEN concat('L', CAST(c_custkey % 97 AS VARCHAR)) END AS label,
   CAST((c_custkey * 61) % 1000 AS INT) AS ax, CAST((c_custkey * 83) % 1000 AS INT) AS ay,
   CAST((c_custkey * 61) % 1000 + 40 + c_custkey % 60 AS INT) AS bx, CAST(CASE WHEN c_custkey % 3 = 0 THEN (c_custkey * 83) % 1000 + c_custkey % 50 ELSE (c_custkey * 83) % 1000 END AS INT) AS "by",
   CAST((c_custkey * 61) % 1000 + 40 + c_custkey % 60 AS INT) AS cx, CAST((c_custkey * 83) % 1000 + 30 + c_custkey % 70 AS INT) AS cy, CAST((c_custkey * 31) % 1000 AS INT) AS confidence FROM customer)"""
@@ -63,7 +63,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     bx, cy = ax + 40 + k % 60, ay + 30 + k % 70
     by = F.when(k % 3 == 0, ay + k % 50).otherwise(ay)
     point = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
-    return c.select(k.alias("line"), k.alias("ord"), (k % 40).cast("int").alias("sheet"), F.when(k % 5 == 0, F.concat(F.lit("L"), (k % 97).cast("string"))).alias("label"), F.array(point(ax, ay), point(bx, by), point(bx, cy)).alias("path"), ((k * 31) % 1000).cast("int").alias("confidence"))
+    return c.select(k.alias("line"), k.alias("ord"), F.floor(k / 40).cast("int").alias("sheet"), F.when(k % 5 == 0, F.concat(F.lit("L"), (k % 97).cast("string"))).alias("label"), F.array(point(ax, ay), point(bx, by), point(bx, cy)).alias("path"), ((k * 31) % 1000).cast("int").alias("confidence"))
 
 
 _TAGS = """tags AS (SELECT c_custkey AS id, CASE CAST(c_custkey % 10 AS INT) WHEN 0 THEN concat('TIC-', CAST(100 + c_custkey % 300 AS VARCHAR)) WHEN 1 THEN concat('P-', CAST(100 + c_custkey % 200 AS VARCHAR), 'A') WHEN 2 THEN concat('BV-', CAST(c_custkey % 90 + 10 AS VARCHAR))
@@ -110,13 +110,14 @@ def q_unresolved_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT concat('C-', CAST(c_custkey AS VARCHAR)) AS id, concat('T-', CAST(c_custkey % 700 AS VARCHAR)) AS tag FROM customer WHERE c_custkey % 3 <> 0
-AND concat('C-', CAST(c_custkey AS VARCHAR)) NOT IN (SELECT concat('C-', CAST(o_custkey AS VARCHAR)) FROM orders WHERE o_orderkey % 2 = 0)
-AND concat('T-', CAST(c_custkey % 700 AS VARCHAR)) NOT IN (SELECT concat('T-', CAST(o_custkey AS VARCHAR)) FROM orders WHERE o_orderkey % 2 = 1)""")
+AND concat('C-', CAST(c_custkey AS VARCHAR)) NOT IN (SELECT concat('C-', CAST(o_custkey * 2 AS VARCHAR)) FROM orders WHERE o_orderkey % 2 = 0)
+AND concat('T-', CAST(c_custkey % 700 AS VARCHAR)) NOT IN (SELECT concat('T-', CAST(o_custkey * 2 % 700 AS VARCHAR)) FROM orders WHERE o_orderkey % 2 = 1)""")
 def q_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     nodes = _read(spark, sf_dir, "customer", "c_custkey").select(F.concat(F.lit("C-"), k.cast("string")).alias("id"), F.concat(F.lit("T-"), (k % 700).cast("string")).alias("tag"), F.when(k % 3 == 0, 1).otherwise(0).alias("links"))
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    return integrity.orphans(nodes, o.select(F.concat(F.when(F.col("o_orderkey") % 2 == 0, F.lit("C-")).otherwise(F.lit("T-")), F.col("o_custkey").cast("string")).alias("ref")))
+    ref = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("C-"), (F.col("o_custkey") * 2).cast("string"))).otherwise(F.concat(F.lit("T-"), (F.col("o_custkey") * 2 % 700).cast("string")))
+    return integrity.orphans(nodes, o.select(ref.alias("ref")))
 
 
 @query("""WITH l AS (SELECT o_orderkey AS loop_id, CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS sensor, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderstatus END AS final_element FROM orders)
@@ -176,16 +177,18 @@ def q_waypoint_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_BOXES} SELECT id, tag FROM boxes WHERE coalesce(CASE WHEN id % 9 = 0 THEN NULL ELSE confidence END, 1000) >= 600")
 def q_min_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _boxes(spark, sf_dir).filter(F.coalesce(F.when(F.col("id") % 9 != 0, F.col("confidence")), F.lit(1000)) >= 600).select("id", "tag")
+    rows = _boxes(spark, sf_dir).withColumn("confidence", F.when(F.col("id") % 9 != 0, F.col("confidence")))
+    return integrity.confident(rows, 600, missing=1000).select("id", "tag")
 
 
 # ------------------------------------------------------------------ boxes
 
 
-@query(f"WITH {_BOXES} SELECT a.tile, a.id AS a, b.id AS b, round({_SMALLER}, 6) AS overlap FROM boxes a JOIN boxes b ON a.tile = b.tile AND a.id < b.id WHERE {_SMALLER} >= 0.5")
+@query(f"WITH {_BOXES} SELECT a.id // 200 AS page, a.id AS a, b.id AS b, round({_SMALLER}, 6) AS overlap FROM boxes a JOIN boxes b ON a.id // 200 = b.id // 200 AND a.id < b.id WHERE {_SMALLER} >= 0.5")
 def q_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = spatial.box_pairs(_boxes(spark, sf_dir), ["tile"], lambda a, b: G.overlap_of_smaller(a, b) >= 0.5, 64)
-    return pairs.select("tile", "a", "b", F.round(G.overlap_of_smaller(F.col("box_a"), F.col("box_b")), 6).alias("overlap"))
+    boxes = _boxes(spark, sf_dir).withColumn("page", F.floor(F.col("id") / 200))
+    pairs = spatial.box_pairs(boxes, ["page"], lambda a, b: G.overlap_of_smaller(a, b) >= 0.5, 64)
+    return pairs.select("page", "a", "b", F.round(G.overlap_of_smaller(F.col("box_a"), F.col("box_b")), 6).alias("overlap"))
 
 
 _INCHES = 'inches AS (SELECT p_partkey AS id, p_partkey % 50 AS slide, (p_partkey * 37 % 900) / 100::DOUBLE AS x1, (p_partkey * 53 % 700) / 100::DOUBLE AS y1, (p_partkey * 37 % 900) / 100::DOUBLE + p_size / 10::DOUBLE AS x2, (p_partkey * 53 % 700) / 100::DOUBLE + (p_size % 20 + 1) / 10::DOUBLE AS y2 FROM part)'
@@ -226,9 +229,9 @@ SELECT DISTINCT unnest(kept) AS ord FROM (SELECT kept FROM walk QUALIFY row_numb
 _UV = _SMALLER.replace("a.", "u.").replace("b.", "v.")
 
 
-@query(_greedy(f"{_BOXES}, src AS (SELECT *, id % 40 AS g FROM boxes)", "tag IS NULL, confidence DESC, ord", "g", f"(u.tag IS NULL OR v.tag IS NULL OR u.tag = v.tag) AND {_UV} >= 0.3"))
+@query(_greedy(f"{_BOXES}, src AS (SELECT *, id // 100 AS g FROM boxes)", "tag IS NULL, confidence DESC, ord", "g", f"(u.tag IS NULL OR v.tag IS NULL OR u.tag = v.tag) AND {_UV} >= 0.3"))
 def q_greedy_suppress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.spatial_dedup(_boxes(spark, sf_dir).withColumn("g", F.col("id") % 40), ["g"], 0.3).filter("kept").select("ord")
+    return dedup.spatial_dedup(_boxes(spark, sf_dir).withColumn("g", F.floor(F.col("id") / 100)), ["g"], 0.3).filter("kept").select("ord")
 
 
 @query(_greedy(f"{_BOXES}, src AS (SELECT *, id % 25 AS g FROM boxes)", "confidence DESC, ord", "g", f"CAST({_OVER.replace('a.', 'v.').replace('b.', 'u.')} AS DOUBLE) / {_AREA.format('v')} > 0.4"))
@@ -262,24 +265,23 @@ def q_path_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side("a").join(side("b"), "sheet").filter("a <> b").select("a", "b", F.round(G.path_similarity(F.col("path_a"), F.col("path_b")), 6).alias("similarity"))
 
 
-@query(f"""WITH RECURSIVE {_LINES}, s AS (SELECT *, line % 300 AS src, line % 7 AS tgt, line % 900 AS name, row_number() OVER (ORDER BY confidence DESC, ord) AS k, [{{'x': ax, 'y': ay}}, {{'x': bx, 'y': "by"}}, {{'x': cx, 'y': cy}}] AS p FROM lines),
-clash AS (SELECT v.k AS k, u.k AS earlier FROM s v JOIN s u ON u.src = v.src AND u.tgt = v.tgt AND u.k < v.k UNION SELECT v.k, u.k FROM s v JOIN s u ON u.name = v.name AND u.k < v.k
- UNION SELECT v.k, u.k FROM s v JOIN s u ON u.k < v.k AND abs(u.ax - v.ax) <= 300 AND abs(u.ay - v.ay) <= 300 WHERE list_avg(list_transform(v.p, lambda a: list_min(list_transform(u.p, lambda b: sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)))))) <= 30),
-befores AS (SELECT k, list(earlier) AS e FROM clash GROUP BY 1), line_up AS (SELECT s.k, coalesce(e, []) AS e FROM s LEFT JOIN befores USING (k)),
-walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT l.k, CASE WHEN list_has_any(w.kept, l.e) THEN w.kept ELSE list_append(w.kept, l.k) END FROM walk w JOIN line_up l ON l.k = w.k + 1)
-SELECT s.ord FROM (SELECT unnest(kept) AS k FROM (SELECT kept FROM walk ORDER BY k DESC LIMIT 1)) x JOIN s ON s.k = x.k""")
+_CLASH = """(u.src = v.src AND u.tgt = v.tgt) OR u.name = v.name OR list_avg(list_transform(v.p, lambda a: list_min(list_transform(u.p, lambda b: sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)))))) <= 30"""
+
+
+@query(_greedy(f"""{_LINES}, src AS (SELECT ord, sheet AS g, confidence, line % 30 AS src, line % 3 AS tgt, line % 37 AS name, [{{'x': ax, 'y': ay}}, {{'x': bx, 'y': "by"}}, {{'x': cx, 'y': cy}}] AS p FROM lines)""", "confidence DESC, ord", "g", _CLASH))
 def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("line")
-    return dedup.line_dedup(_lines(spark, sf_dir).select("ord", "path", "confidence", (k % 900).alias("name"), (k % 300).alias("source"), (k % 7).alias("target"))).filter("kept").select("ord")
+    rows = _lines(spark, sf_dir).select("sheet", "ord", "path", "confidence", (k % 37).alias("name"), (k % 30).alias("source"), (k % 3).alias("target"))
+    return dedup.line_dedup(rows, within=("sheet",)).filter("kept").select("ord")
 
 
 _ENDS = "ends AS (SELECT line, sheet, label, unnest([ax, cx]) AS x, unnest([ay, cy]) AS y FROM lines)"
-_ADJ = "adj AS (SELECT DISTINCT p.line AS a, q.line AS b FROM ends p JOIN ends q ON p.line <> q.line WHERE (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 900)"
+_ADJ = "adj AS (SELECT DISTINCT p.line AS a, q.line AS b FROM ends p JOIN ends q ON p.line <> q.line AND p.sheet = q.sheet WHERE (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 900)"
 
 
 @query(f"WITH {_LINES}, {_ENDS}, {_ADJ} SELECT a, b FROM adj")
 def q_endpoint_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.endpoint_adjacency(_lines(spark, sf_dir), 30)
+    return spatial.endpoint_adjacency(_lines(spark, sf_dir), 30, ["sheet"]).select("a", "b")
 
 
 @query(f"""WITH RECURSIVE {_LINES}, {_ENDS}, {_ADJ}, bare AS (SELECT line FROM lines WHERE label IS NULL), inn AS (SELECT a, b FROM adj WHERE a IN (FROM bare) AND b IN (FROM bare)),
@@ -288,7 +290,7 @@ src AS (SELECT reach.x AS line, min(adj.b) AS source FROM reach JOIN adj ON adj.
 SELECT l.line, coalesce(l.label, n.label) AS label, l.label IS NULL AND n.label IS NOT NULL AS propagated, CASE WHEN l.label IS NULL THEN src.source END AS source FROM lines l LEFT JOIN src ON src.line = l.line LEFT JOIN lines n ON n.line = src.source""")
 def q_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    return graph.propagate_labels(lines.select("line", "label"), spatial.endpoint_adjacency(lines, 30))
+    return graph.propagate_labels(lines.select("line", "label"), spatial.endpoint_adjacency(lines, 30, ["sheet"]))
 
 
 @query(f"""WITH {_LINES}, s AS (SELECT line, unnest([0, 1]) AS pos, unnest([abs(bx - ax), abs(cx - bx)]) AS dx, unnest([abs("by" - ay), abs(cy - "by")]) AS dy FROM lines)
@@ -303,13 +305,13 @@ def q_seam_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select("line", F.explode(ends).alias("e")).filter(G.near_boundary(F.col("e.p"))).select("line", "e.which")
 
 
-@query(f"""WITH RECURSIVE {_LINES}, s AS (SELECT line, sheet, (ax + cx) // 2 AS x, (ay + cy) // 2 AS y FROM lines), near AS (SELECT p.line AS a, q.line AS b FROM s p JOIN s q ON p.sheet % 4 = q.sheet % 4 AND p.line <> q.line AND (p.x - q.x) ** 2 + (p.y - q.y) ** 2 <= 225),
+@query(f"""WITH RECURSIVE {_LINES}, s AS (SELECT line, sheet, (ax + cx) // 2 AS x, (ay + cy) // 2 AS y FROM lines), near AS (SELECT p.line AS a, q.line AS b FROM s p JOIN s q ON p.sheet // 32 = q.sheet // 32 AND p.line <> q.line AND (p.x - q.x) ** 2 + (p.y - q.y) ** 2 <= 225),
 core AS (SELECT a AS line FROM near GROUP BY 1 HAVING count(*) + 1 >= 3), cc AS (SELECT line AS x, line AS y FROM core UNION SELECT cc.x, near.b FROM cc JOIN near ON near.a = cc.y WHERE near.b IN (FROM core)),
-part AS (SELECT x AS line, min(y) AS cluster FROM cc GROUP BY 1), edge AS (SELECT near.a AS line, arg_min(part.cluster, near.b) AS cluster FROM near JOIN part ON part.line = near.b GROUP BY 1)
+part AS (SELECT x AS line, min(y) AS cluster FROM cc GROUP BY 1), edge AS (SELECT near.a AS line, min(part.cluster) AS cluster FROM near JOIN part ON part.line = near.b GROUP BY 1)
 SELECT s.line AS node, coalesce(part.cluster, edge.cluster) AS cluster FROM s LEFT JOIN part USING (line) LEFT JOIN edge USING (line)""")
 def q_density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     mid = lambda c: F.floor((F.element_at("path", 1)[c] + F.element_at("path", -1)[c]) / 2)
-    s = _lines(spark, sf_dir).select("line", (F.col("sheet") % 4).alias("q"), mid("x").alias("x"), mid("y").alias("y"))
+    s = _lines(spark, sf_dir).select("line", F.floor(F.col("sheet") / 32).alias("q"), mid("x").alias("x"), mid("y").alias("y"))
     near = spatial.points_within(s.withColumnRenamed("line", "a"), s.withColumnRenamed("line", "b"), ["q"], 15, ["a"], ["b"]).filter("a <> b").select("a", "b")
     return graph.density_clusters(s.select(F.col("line").alias("node")), near, 3)
 
@@ -337,9 +339,15 @@ def q_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.duplicate_ids(_nodes(spark, sf_dir))
 
 
-@query(f"WITH {_NODES}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord) - 1 AS n FROM nodes) SELECT ord, CASE WHEN n > 0 THEN concat(id, '_', CAST(n AS VARCHAR)) ELSE id END AS new_id FROM r")
+@query("""WITH RECURSIVE n AS (SELECT o_orderkey AS ord, concat('B', CAST(o_custkey // 3 AS VARCHAR), CASE WHEN o_orderkey % 5 = 0 THEN '_1' WHEN o_orderkey % 11 = 0 THEN '_2' ELSE '' END) AS id, o_custkey // 3 AS stem FROM orders),
+v AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY ord) AS k FROM n),
+w AS (SELECT stem, 0::BIGINT AS k, []::VARCHAR[] AS seen FROM (SELECT DISTINCT stem FROM v)
+ UNION ALL SELECT w.stem, v.k, list_append(w.seen, CASE WHEN list_contains(w.seen, v.id) THEN list_filter(list_transform(range(1, len(w.seen) + 2), lambda i: concat(v.id, '_', CAST(i AS VARCHAR))), lambda x: NOT list_contains(w.seen, x))[1] ELSE v.id END) FROM w JOIN v ON v.stem = w.stem AND v.k = w.k + 1)
+SELECT v.ord, w.seen[v.k] AS new_id FROM v JOIN w ON w.stem = v.stem AND w.k = v.k""")
 def q_rename_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.rename_duplicates(_nodes(spark, sf_dir)).select("ord", "new_id")
+    k = F.col("o_orderkey")
+    nodes = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(k.alias("ord"), F.concat(F.lit("B"), F.floor(F.col("o_custkey") / 3).cast("string"), F.when(k % 5 == 0, "_1").when(k % 11 == 0, "_2").otherwise("")).alias("id"))
+    return integrity.rename_duplicates(nodes).select("ord", "new_id")
 
 
 # ------------------------------------------------------------------ grounding
@@ -359,8 +367,7 @@ def q_ground_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_GROUND + ", m AS (SELECT coalesce(hit, near) AS word FROM x LEFT JOIN f USING (k)) SELECT word, ord FROM w WHERE word NOT IN (SELECT word FROM m WHERE word IS NOT NULL)")
 def q_ocr_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _words(spark, sf_dir)
-    found = integrity.ground_tags(_tags(spark, sf_dir), words).select(F.col("matched").alias("word")).filter("word is not null").distinct()
-    return words.select(F.upper(X.strip(F.col("text"))).alias("word"), "ord").filter(F.length("word") >= 2).groupBy("word").agg(F.min("ord").alias("ord")).join(found, "word", "left_anti")
+    return integrity.unmatched_words(words, integrity.ground_tags(_tags(spark, sf_dir), words))
 
 
 @query(f"WITH {_TAGS}, {_WORDS}, w AS (SELECT DISTINCT upper(text) AS word FROM words WHERE text <> '') SELECT id, tag FROM tags WHERE NOT EXISTS (SELECT 1 FROM w WHERE contains(upper(tag), word) OR contains(word, upper(tag)))")
@@ -370,18 +377,18 @@ def q_ungrounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ errors and metrics
 
-_ERRORS = "errors AS (SELECT concat('E-', CAST(o_custkey AS VARCHAR)) AS entity_id, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'DANGLING_REF' WHEN 1 THEN 'SEAM_BREAK' WHEN 2 THEN 'ORPHAN_NODE' ELSE 'UNGROUNDED_TAG' END AS error_type, o_orderstatus AS severity FROM orders WHERE o_totalprice < 150000)"
+_ERRORS = "errors AS (SELECT concat('E-', CAST(o_custkey AS VARCHAR)) AS entity_id, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'DANGLING_REF' WHEN 1 THEN 'SEAM_BREAK' WHEN 2 THEN 'ORPHAN_NODE' ELSE 'UNGROUNDED_TAG' END AS error_type, o_orderstatus AS severity FROM orders)"
 
 
 def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey") % 4
     kind = F.when(k == 0, "DANGLING_REF").when(k == 1, "SEAM_BREAK").when(k == 2, "ORPHAN_NODE").otherwise("UNGROUNDED_TAG")
-    return _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").filter("o_totalprice < 150000").select(F.concat(F.lit("E-"), F.col("o_custkey").cast("string")).alias("entity_id"), kind.alias("error_type"), F.col("o_orderstatus").alias("severity"))
+    return _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select(F.concat(F.lit("E-"), F.col("o_custkey").cast("string")).alias("entity_id"), kind.alias("error_type"), F.col("o_orderstatus").alias("severity"))
 
 
 @query(f"WITH {_ERRORS} SELECT error_type, count(*) AS n, count(*) FILTER (severity = 'F') AS n_final FROM errors GROUP BY 1")
 def q_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _errors(spark, sf_dir).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == "F").alias("n_final"))
+    return errors.histogram(_errors(spark, sf_dir), F.col("severity") == "F").withColumnRenamed("n_marked", "n_final")
 
 
 @query(f"WITH {_ERRORS} SELECT count(*) FILTER (error_type = 'DANGLING_REF') = 0 AS no_dangling_ref, count(*) FILTER (error_type = 'DUPLICATE_ID') = 0 AS no_duplicate_id, count(*) FILTER (error_type IN ('DANGLING_REF', 'DUPLICATE_ID')) = 0 AS all_pass FROM errors")
@@ -395,13 +402,13 @@ def q_repair_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.repair(entities, _errors(spark, sf_dir)).withColumn("error_types", F.array_join("error_types", ","))
 
 
-_METRICS = f"""{_LINES}, n AS (SELECT concat('N', CAST(c_custkey AS VARCHAR)) AS id, CASE CAST(c_custkey % 3 AS INT) WHEN 0 THEN 'equipment' WHEN 1 THEN 'instruments' ELSE 'valves' END AS kind, c_custkey % 5 <> 0 AS tagged, c_custkey % 4 = 0 AS ocr, c_custkey % 7 <> 0 AS ver FROM customer WHERE c_custkey % 11 <> 0),
+_METRICS = f"""{_LINES}, n AS (SELECT concat('N', CAST(c_custkey AS VARCHAR)) AS id, CASE CAST(c_custkey % 3 AS INT) WHEN 0 THEN 'equipment' WHEN 1 THEN 'instruments' ELSE 'valves' END AS kind, c_custkey % 5 <> 0 AS tagged, c_custkey % 4 = 0 AS ocr, c_custkey % 7 <> 0 AS ver FROM customer),
 e AS (SELECT *, concat('N', CAST(line AS VARCHAR)) AS source, concat('N', CAST(line * 3 % 2000 AS VARCHAR)) AS target FROM lines), ends AS (SELECT unnest([source, target]) AS id FROM e), r AS (SELECT count(*) FILTER (id IN (SELECT id FROM n)) AS c, count(*) AS t FROM ends)"""
 
 
 def _metric_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     k = F.col("c_custkey")
-    nodes = _read(spark, sf_dir, "customer", "c_custkey").filter(k % 11 != 0).select(
+    nodes = _read(spark, sf_dir, "customer", "c_custkey").select(
         F.concat(F.lit("N"), k.cast("string")).alias("id"), F.when(k % 3 == 0, "equipment").when(k % 3 == 1, "instruments").otherwise("valves").alias("kind"), F.when(k % 5 != 0, "T").alias("tag"), (k % 4 == 0).alias("ocr_validated"), F.when(k % 7 == 0, F.lit(False)).alias("tag_verified"))
     n = F.col("line")
     edges = _lines(spark, sf_dir).select(F.when(n % 2 == 0, "process").otherwise("signal").alias("kind"), F.concat(F.lit("N"), n.cast("string")).alias("source"), F.concat(F.lit("N"), (n * 3 % 2000).cast("string")).alias("target"), F.col("label").isNotNull().alias("named"), (n % 6 == 0).alias("propagated"), "path", (n % 50 == 0).alias("seam_break"))
@@ -413,34 +420,39 @@ def _metric_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 (SELECT count(*) FROM e WHERE line % 2 = 0) AS total_process_lines, (SELECT count(*) FROM e WHERE line % 2 = 1) AS total_signal_lines, (SELECT count(*) FROM e) AS total_lines, (SELECT count(label) FROM e) AS labeled_lines, (SELECT count(*) FROM e WHERE line % 6 = 0) AS propagated_labels,
 (SELECT count(*) FROM (SELECT unnest([ax, cx]) AS x, unnest([ay, cy]) AS y FROM e) WHERE x <= 20 OR x >= 980 OR y <= 20 OR y >= 980) AS boundary_endpoints, (SELECT count(*) FROM e WHERE line % 50 = 0) AS seam_breaks,
 (SELECT count(*) FROM n WHERE NOT ocr) AS ocr_unvalidated, (SELECT round(avg(ocr::INT), 3) FROM n) AS ocr_validation_rate, (SELECT round(count(label) / count(*), 3) FROM e) AS label_coverage, (SELECT round(c / t, 3) FROM r) AS edge_connection_rate, (SELECT round((t - c) / t, 3) FROM r) AS dangling_ref_rate,
-(SELECT round(count(*) FILTER (line % 50 = 0) / count(*), 3) FROM e) AS seam_break_rate, (SELECT count(*) FROM n WHERE tagged AND NOT (ocr OR ver)) AS ungrounded_tags, (SELECT round(count(*) FILTER (ocr OR ver) / count(*), 3) FROM n WHERE tagged) AS tag_grounding_rate""")
+(SELECT round(count(*) FILTER (line % 50 = 0) / count(*), 3) FROM e) AS seam_break_rate, (SELECT count(*) FROM n WHERE tagged AND NOT (ocr OR ver)) AS ungrounded_tags, (SELECT round(count(*) FILTER (ocr OR ver) / count(*), 3) FROM n WHERE tagged) AS tag_grounding_rate,
+(SELECT count(*) FROM orders WHERE o_custkey % 97 = 0) AS unresolved_references, (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS orphan_nodes, CAST(0 AS BIGINT) AS incomplete_loops, (SELECT count(*) FROM lines WHERE line % 3 = 0) AS orthogonality_warnings,
+(SELECT count(*) FROM orders WHERE o_custkey % 97 = 0) = 0 AND (SELECT count(*) FROM customer WHERE c_acctbal < 0) = 0 AS is_valid""")
 def q_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.quality_metrics(*_metric_inputs(spark, sf_dir))
+    unresolved = _read(spark, sf_dir, "orders", "o_custkey").agg(F.count_if(F.col("o_custkey") % 97 == 0).alias("unresolved_references"))
+    alone = _read(spark, sf_dir, "customer", "c_acctbal").agg(F.count_if(F.col("c_acctbal") < 0).alias("orphan_nodes"))
+    skewed = _lines(spark, sf_dir).agg(F.count_if(F.col("line") % 3 == 0).alias("orthogonality_warnings"), F.lit(0).cast("long").alias("incomplete_loops"))
+    return integrity.quality_metrics(*_metric_inputs(spark, sf_dir), unresolved.crossJoin(alone).crossJoin(skewed))  # one row each
 
 
-@query("""WITH m AS (SELECT metric, CAST(value AS DOUBLE) AS value, side FROM (SELECT l_returnflag = 'A' AS side, count(*) AS orphan_nodes, count(*) FILTER (l_quantity > 25) AS label_coverage, count(*) FILTER (l_discount > 0.05) AS total_lines FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1)
+@query("""WITH m AS (SELECT metric, CAST(value AS DOUBLE) AS value, side FROM (SELECT l_returnflag = 'A' AS side, count(*) AS orphan_nodes, count(*) FILTER (l_quantity > 25) AS label_coverage, count(*) FILTER (l_discount > 0.05) AS total_lines FROM lineitem GROUP BY 1)
 UNPIVOT (value FOR metric IN (orphan_nodes, label_coverage, total_lines)))
 SELECT a.metric, a.value AS "before", b.value AS "after", CASE WHEN a.metric = 'orphan_nodes' THEN a.value - b.value ELSE b.value - a.value END AS gain FROM m a JOIN m b ON a.metric = b.metric AND a.side AND NOT b.side""")
 def q_compare_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _read(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity", "l_discount")
     names = ["orphan_nodes", "label_coverage", "total_lines"]
 
-    def side(flag: str) -> DataFrame:
-        one = items.filter(F.col("l_returnflag") == flag).agg(F.count(F.lit(1)).cast("double").alias(names[0]), F.count_if(F.col("l_quantity") > 25).cast("double").alias(names[1]), F.count_if(F.col("l_discount") > 0.05).cast("double").alias(names[2]))
+    def side(first: bool) -> DataFrame:
+        one = items.filter((F.col("l_returnflag") == "A") == first).agg(F.count(F.lit(1)).cast("double").alias(names[0]), F.count_if(F.col("l_quantity") > 25).cast("double").alias(names[1]), F.count_if(F.col("l_discount") > 0.05).cast("double").alias(names[2]))
         return one.unpivot([], names, "metric", "value")
 
-    return integrity.compare_metrics(side("A"), side("R"))
+    return integrity.compare_metrics(side(True), side(False))
 
 
 # ------------------------------------------------------------------ documents
 
 
-@query("""WITH RECURSIVE s AS (SELECT p_partkey AS id, p_partkey % 60 AS slide, CAST((p_partkey * 53) % 700 AS INT) AS top, CAST((p_partkey * 37) % 900 AS INT) AS lft FROM part), v AS (SELECT *, row_number() OVER (PARTITION BY slide ORDER BY top, lft, id) AS k FROM s),
+@query("""WITH RECURSIVE s AS (SELECT p_partkey AS id, p_partkey // 40 AS slide, CAST((p_partkey * 53) % 700 AS INT) AS top, CAST((p_partkey * 37) % 900 AS INT) AS lft FROM part), v AS (SELECT *, row_number() OVER (PARTITION BY slide ORDER BY top, lft, id) AS k FROM s),
 w AS (SELECT slide, k, top AS first_top, 1 AS band, id, lft, top FROM v WHERE k = 1 UNION ALL SELECT v.slide, v.k, CASE WHEN v.top - w.first_top > 50 THEN v.top ELSE w.first_top END, CASE WHEN v.top - w.first_top > 50 THEN w.band + 1 ELSE w.band END, v.id, v.lft, v.top FROM w JOIN v ON v.slide = w.slide AND v.k = w.k + 1)
 SELECT slide, row_number() OVER (PARTITION BY slide ORDER BY band, lft, top, id) - 1 AS position, band, id FROM w""")
 def q_row_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    shapes = _read(spark, sf_dir, "part", "p_partkey").select(k.alias("id"), (k % 60).alias("slide"), ((k * 53) % 700).cast("int").alias("top"), ((k * 37) % 900).cast("int").alias("left"))
+    shapes = _read(spark, sf_dir, "part", "p_partkey").select(k.alias("id"), F.floor(k / 40).alias("slide"), ((k * 53) % 700).cast("int").alias("top"), ((k * 37) % 900).cast("int").alias("left"))
     return documents.row_bands(shapes, ["slide"], 50)
 
 
@@ -452,13 +464,13 @@ def q_group_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT lang, arg_min(source, doc_id) AS first_source, min(doc_id) AS doc_id FROM documents WHERE source IS NOT NULL GROUP BY 1")
 def q_first_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents", "doc_id", "lang", "source").filter("source is not null").groupBy("lang").agg(F.min_by("source", "doc_id").alias("first_source"), F.min("doc_id").alias("doc_id"))
+    return _read(spark, sf_dir, "documents", "doc_id", "lang", "source").transform(lambda d: documents.first_value(d, ["lang"], "source", "doc_id")).withColumnRenamed("source", "first_source")
 
 
 @query("SELECT doc_id, quality FROM labels WHERE doc_id % 3 <> 0 EXCEPT SELECT doc_id, 1 AS quality FROM labels WHERE toxic = 0")
 def q_new_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return labels.filter("doc_id % 3 <> 0").select("doc_id", "quality").subtract(labels.filter("toxic = 0").select("doc_id", F.lit(1).cast(labels.schema["quality"].dataType).alias("quality")))
+    return errors.new_only(labels.filter("doc_id % 3 <> 0").select("doc_id", "quality"), labels.filter("toxic = 0").select("doc_id", F.lit(1).cast(labels.schema["quality"].dataType).alias("quality")))
 
 
 @query("SELECT page_id, trim(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1)[-1], E' \\t\\n\\r') AS last_p FROM pages")
@@ -472,19 +484,21 @@ def q_manual_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.size(F.filter(lines, lambda p: p.rlike("^[A-Z]"))).cast("long").alias("n_capital"), X.manual_bullet(lines).alias("bullet"))
 
 
-@query("""WITH p AS (SELECT u.conv_id, u.turn, CAST(u.text IS NOT NULL AND length(u.text) > 0 AND left(u.text, 1) = left(a.text, 1) AS INT) AS score, length(a.text) AS n FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant')
-SELECT count(*) AS tasks, round(100.0 * avg(score), 3) AS accuracy, round(avg(n), 3) AS mean_duration, round(avg(turn), 3) AS mean_calls, CAST(sum(turn) AS BIGINT) AS total_calls FROM p""")
+@query("""WITH p AS (SELECT u.turn, CASE WHEN u.conv_id % 3 = 0 THEN a.text ELSE u.text END AS actual, a.text AS expected FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant')
+SELECT count(*) AS tasks, round(100.0 * avg(CAST(coalesce(length(actual) > 0 AND actual = expected, false) AS INT)), 3) AS accuracy, round(avg(length(expected)), 3) AS mean_duration, round(avg(turn), 3) AS mean_calls, CAST(sum(turn) AS BIGINT) AS total_calls FROM p""")
 def q_exact_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    asked = c.filter("role = 'user'").select("conv_id", "turn", F.left("text", F.lit(1)).alias("actual"))
-    given = c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.left("text", F.lit(1)).alias("expected"), F.length("text").alias("duration"))
-    return documents.run_report(asked.join(given, ["conv_id", "turn"]).withColumn("tool_calls", F.col("turn")))
+    asked = c.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("said"))
+    given = c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("expected"), F.length("text").alias("duration"))
+    results = asked.join(given, ["conv_id", "turn"]).withColumn("actual", F.when(F.col("conv_id") % 3 == 0, F.col("expected")).otherwise(F.col("said")))
+    return documents.run_report(results.withColumn("tool_calls", F.col("turn")))
 
 
-@query("SELECT event_type AS tool, count(*) AS calls, array_to_string(list(CAST(round(value * 100) AS BIGINT) ORDER BY ts, event_id), ',') AS durations FROM events GROUP BY 1")
+@query("""WITH c AS (SELECT event_type AS tool, CAST(round(value * 100) AS BIGINT) AS d, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events)
+SELECT tool, (n - 1) // 500 AS page, count(*) AS calls, array_to_string(list(d ORDER BY n), ',') AS durations FROM c GROUP BY 1, 2""")
 def q_tool_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = _read(spark, sf_dir, "events", "event_id", "ts", "event_type", "value").select(F.col("event_type").alias("tool"), "ts", F.col("event_id").alias("id"), F.round(F.col("value") * 100).cast("long").alias("duration"))
-    return documents.tool_metrics(calls).withColumn("durations", F.array_join("durations", ","))
+    return documents.tool_metrics(calls, 500).withColumn("durations", F.array_join("durations", ","))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
@@ -511,22 +525,22 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "part", "p_partkey").select(F.concat(F.lit("ppt/slides/slide"), k.cast("string"), F.when(k % 9 == 0, ".bin").otherwise(".xml")).alias("name"), k.alias("k"))
 
 
-@query(f"WITH {_PARTS}, r AS (SELECT l_orderkey AS id, concat('ppt/slides/slide', CAST(l_partkey % 3000 AS VARCHAR), '.xml') AS name FROM lineitem WHERE l_linenumber = 1) SELECT id, name FROM r WHERE name NOT IN (SELECT name FROM parts)")
+@query(f"WITH {_PARTS}, r AS (SELECT l_orderkey AS id, concat('ppt/slides/slide', CAST(l_partkey % 3000 AS VARCHAR), '.xml') AS name FROM lineitem) SELECT id, name FROM r WHERE name NOT IN (SELECT name FROM parts)")
 def q_broken_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rels = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("id"), F.lit("ppt/slideLayouts").alias("folder"), F.concat(F.lit("../slides/slide"), (F.col("l_partkey") % 3000).cast("string"), F.lit(".xml")).alias("target"))
+    rels = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey").select(F.col("l_orderkey").alias("id"), F.lit("ppt/slideLayouts").alias("folder"), F.concat(F.lit("../slides/slide"), (F.col("l_partkey") % 3000).cast("string"), F.lit(".xml")).alias("target"))
     return documents.broken_targets(rels, _parts(spark, sf_dir)).select("id", "name")
 
 
-@query(f"WITH {_PARTS} SELECT name FROM parts WHERE name NOT IN (SELECT concat('ppt/slides/slide', CAST(l_partkey AS VARCHAR), '.xml') FROM lineitem WHERE l_quantity > 45)")
+@query(f"WITH {_PARTS} SELECT name FROM parts WHERE name NOT IN (SELECT concat('ppt/slides/slide', CAST(l_partkey * 2 AS VARCHAR), '.xml') FROM lineitem)")
 def q_unreferenced_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rels = _read(spark, sf_dir, "lineitem", "l_partkey", "l_quantity").filter("l_quantity > 45").select(F.lit("").alias("folder"), F.concat(F.lit("/ppt/slides/slide"), F.col("l_partkey").cast("string"), F.lit(".xml")).alias("target"))
+    rels = _read(spark, sf_dir, "lineitem", "l_partkey").select(F.lit("").alias("folder"), F.concat(F.lit("/ppt/slides/slide"), (F.col("l_partkey") * 2).cast("string"), F.lit(".xml")).alias("target"))
     return documents.unreferenced_parts(rels, _parts(spark, sf_dir)).select("name")
 
 
-@query(f"WITH {_PARTS} SELECT name FROM parts WHERE k % 3 <> 0 AND name NOT LIKE '%.xml'")
+@query(f"WITH {_PARTS} SELECT name FROM parts WHERE k % 2 <> 0 AND name NOT LIKE '%.xml'")
 def q_undeclared_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _parts(spark, sf_dir)
-    return documents.undeclared_content(parts.select("name"), parts.filter("k % 3 = 0").select("name"), spark.createDataFrame([("XML",), ("rels",)], "extension string"))
+    return documents.undeclared_content(parts.select("name"), parts.filter("k % 2 = 0").select("name"), spark.createDataFrame([("XML",), ("rels",)], "extension string"))
 
 
 _USES = "u AS (SELECT o_custkey AS part, o_orderkey AS k, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'sldId' WHEN 1 THEN 'sldLayoutId' WHEN 2 THEN 'headerReference' ELSE 'blip' END AS element, concat('rId', CAST(o_orderkey % 9 AS VARCHAR)) AS rid FROM orders), r AS (SELECT c_custkey AS part, unnest(range(0, 6)) AS n FROM customer), rels AS (SELECT part, concat('rId', CAST(n AS VARCHAR)) AS rid, CASE WHEN n % 3 = 0 THEN 'http://x/slide' WHEN n % 3 = 1 THEN 'http://x/slideLayout' ELSE 'http://x/header' END AS type FROM r)"
@@ -550,9 +564,9 @@ def q_duplicate_xml_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.duplicate_xml_ids(rows)
 
 
-@query("SELECT o_custkey AS notes, count(*) AS n, array_to_string(list(o_orderkey ORDER BY o_orderkey), ',') AS members FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT o_custkey AS notes, count(*) AS n, array_to_string(list(o_orderkey ORDER BY o_orderkey), ',') AS members FROM orders GROUP BY 1 HAVING count(*) > 1")
 def q_shared_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refs = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("notes"), "o_orderkey")
+    refs = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(F.col("o_custkey").alias("notes"), "o_orderkey")
     return documents.more_than_once(refs, ["notes"], "o_orderkey").withColumn("members", F.array_join("members", ","))
 
 
@@ -589,5 +603,4 @@ def q_skill_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS place FROM documents QUALIFY place <= 30")
 def q_top_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id"))
-    return _read(spark, sf_dir, "documents", "doc_id", "source", "n_chars").withColumn("place", place).filter("place <= 30").drop("n_chars")
+    return documents.top_of(_read(spark, sf_dir, "documents", "doc_id", "source", "n_chars"), ["source"], [F.desc("n_chars"), F.col("doc_id")], 30).drop("n_chars")

@@ -2,22 +2,47 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows of df in the folder of spark.checkpoint.dir (one of our own where that is unset)."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    """The rows of df in the folder of spark.checkpoint.dir (in local mode one of our own where that is unset)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and re.match(r"local(\[|$)", sc.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return named or sc._jsc.sc().getCheckpointDir().get()
+
+
+def numbered(rows: DataFrame, within: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
+    """rows with their place (from 1) in their group by `order`; a group may be of any size.
+
+    Rows are dealt by ranges of (group, order); a range numbers its own rows and adds those of the ranges before it.
+    """
+    part, ahead = f"{name}_part", f"{name}_ahead"
+    dealt = cut_lineage(rows.repartitionByRange(*(F.col(c) for c in within), *(F.col(c) if isinstance(c, str) else c for c in order)).withColumn(part, F.spark_partition_id()))
+    counts = dealt.groupBy(*within, part).agg(F.count(F.lit(1)).alias("c"))
+    before = counts.withColumn(ahead, F.sum("c").over(Window.partitionBy(*within).orderBy(part)) - F.col("c")).drop("c")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*within, part)]
+    both = dealt.alias("r").join(F.broadcast(before).alias("b"), reduce(lambda x, y: x & y, same)).select("r.*", f"b.{ahead}")  # one row a group and range
+    own = F.row_number().over(Window.partitionBy(*within, part).orderBy(*order))
+    return both.withColumn(name, own + F.col(ahead)).drop(part, ahead)
+
+
 def union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -26,64 +26,90 @@ def keyed_dedup(entities: DataFrame, within: list[str], threshold: float = 0.95)
     """entities (id, ord, tag, box, confidence) with name and action.
 
     In each name group the surest row is `best`. Another row that overlaps it by less than the threshold
-    is `renamed` (its id gets _dup), by at least the threshold is `merged_duplicate`; without both boxes it
-    is `dropped` without audit. Rows without any name are `unnamed`.
+    is `renamed` (its id, or `unknown` without one, gets _dup), by at least the threshold is `merged_duplicate`; without
+    both boxes it is `dropped` without audit. Rows without any name are `unnamed`. place is the order in which the rows
+    that stay go on: groups by their first member, in a group the surest row last, unnamed rows behind all.
     """
     w = Window.partitionBy(*within, "name").orderBy(F.coalesce("confidence", F.lit(0)).desc(), "ord")
     named = entities.withColumn("name", name_key())
-    ranked = named.filter("name is not null").withColumns({"rank": F.row_number().over(w), "best_box": F.first("box").over(w)})
+    group = Window.partitionBy(*within, "name")
+    ranked = named.filter("name is not null").withColumns({"rank": F.row_number().over(w), "best_box": F.first("box").over(w), "group_ord": F.min("ord").over(group), "best_name": F.first(F.coalesce("tag", F.col("id").cast("string"))).over(w)})
     over = G.overlap_of_smaller(F.col("box"), F.col("best_box"))
     action = F.when(F.col("rank") == 1, "best").when(F.col("box").isNull() | F.col("best_box").isNull(), "dropped").when(over < threshold, "renamed").otherwise("merged_duplicate")
-    out = ranked.withColumn("action", action).withColumn("new_id", F.when(F.col("action") == "renamed", F.concat(F.col("id").cast("string"), F.lit("_dup"))).otherwise(F.col("id").cast("string"))).drop("rank", "best_box")
-    bare = named.filter("name is null").withColumns({"action": F.lit("unnamed"), "new_id": F.col("id").cast("string")})
+    own = F.col("id").cast("string")
+    place = F.struct(F.lit(False).alias("bare"), F.col("group_ord").cast("long").alias("first"), F.col("rank").alias("turn"))
+    out = ranked.withColumn("action", action).withColumns({
+        "new_id": F.when(F.col("action") == "renamed", F.concat(F.coalesce(F.nullif(own, F.lit("")), F.lit("unknown")), F.lit("_dup"))).otherwise(own),
+        "place": place.withField("turn", F.when(F.col("rank") == 1, 1 << 30).otherwise(F.col("rank"))), "overlap": F.when(F.col("rank") > 1, F.round(over, 3)),
+    }).drop("rank", "best_box", "group_ord")
+    bare = named.filter("name is null").withColumns({"action": F.lit("unnamed"), "new_id": own, "place": F.struct(F.lit(True).alias("bare"), F.col("ord").cast("long").alias("first"), F.lit(0).alias("turn")), "overlap": F.lit(None).cast("double"), "best_name": F.lit(None).cast("string")})
     return out.unionByName(bare)
 
 
-def spatial_dedup(entities: DataFrame, within: list[str], threshold: float = 0.95, cell: int = 64) -> DataFrame:
-    """entities (id, ord, tag, box, confidence) with kept: greedy suppression of boxes that overlap a kept, better one.
-
-    Better: has a tag, then has an id, then the confidence, then ord. Two different tags never merge; a row
-    without box is always kept.
-    """
+def spatial_pairs(entities: DataFrame, within: list[str], threshold: float, cell: int, last: str) -> DataFrame:
+    """(first, then) of all boxes that overlap enough and bear no different tags, the better one first."""
     tag = F.nullif(F.col("tag"), F.lit(""))
-    rank = F.struct(tag.isNull().alias("no_tag"), F.col("id").isNull().alias("no_id"), (-F.coalesce("confidence", F.lit(0))).alias("less"), "ord")
-    rows = entities.withColumns({"node": F.col("ord"), "rank": rank, "own_tag": tag})
-    pairs = box_pairs(rows.filter("box is not null").select(F.col("node").alias("id"), "box", *within, "rank", "own_tag"), within, lambda a, b: G.overlap_of_smaller(a, b) >= threshold, cell, ["rank", "own_tag"])
+    rank = F.struct(tag.isNull().alias("no_tag"), F.nullif(F.col("id").cast("string"), F.lit("")).isNull().alias("no_id"), (-F.coalesce("confidence", F.lit(0))).alias("less"), F.col(last).alias("last"))
+    rows = entities.filter("box is not null").select(F.struct(*within, "ord").alias("id"), "box", *within, rank.alias("rank"), tag.alias("own_tag"))
+    pairs = box_pairs(rows, within, lambda a, b: G.overlap_of_smaller(a, b) >= threshold, cell, ["rank", "own_tag"])
     pairs = pairs.filter(F.col("own_tag_a").isNull() | F.col("own_tag_b").isNull() | (F.col("own_tag_a") == F.col("own_tag_b")))
+    return _ordered(pairs).withColumn("overlap", F.round(G.overlap_of_smaller(F.col("box_a"), F.col("box_b")), 3)).select("first", "then", "overlap", F.least("rank_a", "rank_b").alias("first_rank"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
     a_first = F.col("rank_a") < F.col("rank_b")
-    return greedy_keep(rows.drop("rank", "own_tag"), pairs.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("then")))
+    return pairs.withColumns({"first": F.when(a_first, F.col("a")).otherwise(F.col("b")), "then": F.when(a_first, F.col("b")).otherwise(F.col("a"))})
+
+
+def spatial_dedup(entities: DataFrame, within: list[str], threshold: float = 0.95, cell: int = 64, last: str = "ord") -> DataFrame:
+    """entities (id, ord, tag, box, confidence) with kept: greedy suppression of boxes that overlap a kept, better one.
+
+    Better: has a tag, then has an id, then the confidence, then the column `last`. Two different tags never merge; a row
+    without box is always kept. ord is unique within a group.
+    """
+    rows = entities.withColumn("node", F.struct(*within, "ord"))
+    return greedy_keep(rows, spatial_pairs(entities, within, threshold, cell, last)).drop("node")
+
+
+def spatial_audit(judged: DataFrame, within: list[str], threshold: float = 0.95, cell: int = 64, last: str = "ord") -> DataFrame:
+    """Of each row that spatial_dedup suppressed, the best kept row that suppressed it: (group, ord, kept_ord, overlap)."""
+    state = judged.select(F.struct(*within, "ord").alias("node"), "kept")
+    pairs = spatial_pairs(judged, within, threshold, cell, last)
+    gone = pairs.join(state.filter("not kept").select(F.col("node").alias("then")), "then", "left_semi").join(state.filter("kept").select(F.col("node").alias("first")), "first", "left_semi")
+    lead = gone.groupBy("then").agg(F.min_by(F.struct("first", "overlap"), "first_rank").alias("k"))
+    return lead.select(*(F.col(f"then.{c}").alias(c) for c in (*within, "ord")), F.col("k.first.ord").alias("kept_ord"), "k.overlap")
 
 
-def ocr_dedup(detections: DataFrame, threshold: float = 0.7, cell: int = 64) -> DataFrame:
+def ocr_dedup(detections: DataFrame, threshold: float = 0.7, cell: int = 64, within: tuple[str, ...] = ()) -> DataFrame:
     """detections (ord, text, box, confidence) with kept: equal upper-case texts whose box lies by more than the threshold in a kept one."""
-    rows = detections.withColumns({"node": F.col("ord"), "word": F.upper("text"), "rank": F.struct((-F.coalesce("confidence", F.lit(0))).alias("less"), "ord")})
-    pairs = box_pairs(rows.select(F.col("node").alias("id"), "box", "word", "rank"), ["word"], lambda a, b: G.common_area(a, b) > 0, cell, ["rank"])
+    rows = detections.withColumns({"node": F.struct(*within, "ord"), "word": F.upper("text"), "rank": F.struct((-F.coalesce("confidence", F.lit(0))).alias("less"), "ord")})
+    pairs = box_pairs(rows.select(F.col("node").alias("id"), "box", *within, "word", "rank"), [*within, "word"], lambda a, b: G.common_area(a, b) > 0, cell, ["rank"])
     a_first = F.col("rank_a") < F.col("rank_b")
     later = F.when(a_first, F.col("box_b")).otherwise(F.col("box_a"))
     earlier = F.when(a_first, F.col("box_a")).otherwise(F.col("box_b"))
     pairs = pairs.filter(G.overlap_of_first(later, earlier) > threshold)
-    return greedy_keep(rows.drop("word", "rank"), pairs.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("then")))
+    return greedy_keep(rows.drop("word", "rank"), _ordered(pairs).select("first", "then")).drop("node")
 
 
-def line_dedup(lines: DataFrame, threshold: float = 0.7, tolerance: float = 50.0, cell: int = 300) -> DataFrame:
+def line_dedup(lines: DataFrame, threshold: float = 0.7, tolerance: float = 50.0, cell: int = 300, within: tuple[str, ...] = ()) -> DataFrame:
     """lines (ord, name, source, target, path, confidence) with kept: greedy by confidence; a later line goes if a kept
     one has the same ends, the same name or a similar path (similarity of the later to the kept one).
 
-    Similar paths: the mean distance allowed at threshold 0.7 is 30, so some vertex of the later line
-    is that near to the kept one's; candidates share a grid cell of their vertices' surroundings.
+    Equal names and equal ends are groups, one row a line. Similar paths: the mean distance allowed at threshold 0.7 is 30,
+    so some vertex of the later line is that near to the kept one's; candidates share a grid cell of their vertices' surroundings.
     """
-    rows = lines.withColumns({"node": F.col("ord"), "rank": F.struct((-F.coalesce("confidence", F.lit(0))).alias("less"), "ord")})
-    side = lambda s, *keys: rows.select(*keys, F.col("node").alias(s), F.col("rank").alias(f"rank_{s}"))
-    ordered = F.col("rank_a") < F.col("rank_b")
-    pick = lambda df: df.filter(ordered).select(F.col("a").alias("first"), F.col("b").alias("then"))
-    same_ends = pick(side("a", "source", "target").join(side("b", "source", "target"), ["source", "target"]))
-    same_name = pick(side("a", "name").join(side("b", "name"), ["name"]))
-    points = rows.select("node", "rank", "path", F.explode("path").alias("p"))
+    rows = lines.withColumns({"node": F.struct(*within, "ord"), "rank": F.struct((-F.coalesce("confidence", F.lit(0))).alias("less"), "ord")})
+    text = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    none = F.lit(None).cast("string")
+    ends = rows.filter(text("source").isNotNull() & text("target").isNotNull()).select(F.struct(*within, none.alias("name"), text("source").alias("source"), text("target").alias("target")).alias("g"), "node", "rank")
+    names = rows.filter(text("name").isNotNull()).select(F.struct(*within, text("name").alias("name"), none.alias("source"), none.alias("target")).alias("g"), "node", "rank")
+    points = rows.select(*within, "node", "rank", "path", F.explode("path").alias("p"))
     at = lambda c: F.floor(F.col(f"p.{c}") / cell)
     # A vertex within `cell` of another's lies in one of the nine cells around it; the kept line's segments need no cell, only its vertices count.
-    one = points.select("node", "rank", "path", at("x").alias("cx"), at("y").alias("cy")).distinct()
+    one = points.select(*within, F.col("node").alias("a"), F.col("rank").alias("rank_a"), F.col("path").alias("path_a"), at("x").alias("cx"), at("y").alias("cy")).distinct()
     near = F.sequence(F.lit(-1), F.lit(1))
-    nine = points.select("node", "rank", "path", F.explode(F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: F.struct((at("x") + i).alias("cx"), (at("y") + j).alias("cy")))))).alias("c")).select("node", "rank", "path", "c.cx", "c.cy").distinct()
-    close = one.select("cx", "cy", F.col("node").alias("a"), F.col("rank").alias("rank_a"), F.col("path").alias("path_a")).join(nine.select("cx", "cy", F.col("node").alias("b"), F.col("rank").alias("rank_b"), F.col("path").alias("path_b")), ["cx", "cy"])
-    similar = close.filter(ordered).drop("cx", "cy").dropDuplicates(["a", "b"]).filter(G.path_similarity(F.col("path_b"), F.col("path_a"), tolerance) >= threshold).select(F.col("a").alias("first"), F.col("b").alias("then"))
-    return greedy_keep(rows.drop("rank"), same_ends.unionAll(same_name).unionAll(similar))
+    around = F.explode(F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: F.struct((at("x") + i).alias("cx"), (at("y") + j).alias("cy"))))))
+    nine = points.select(*within, F.col("node").alias("b"), F.col("rank").alias("rank_b"), F.col("path").alias("path_b"), around.alias("c")).select("*", "c.cx", "c.cy").drop("c").distinct()
+    close = one.join(nine, [*within, "cx", "cy"]).filter(F.col("rank_a") < F.col("rank_b")).dropDuplicates(["a", "b"])
+    similar = close.filter(G.path_similarity(F.col("path_b"), F.col("path_a"), tolerance) >= threshold).select(F.col("a").alias("first"), F.col("b").alias("then"))
+    return greedy_keep(rows.drop("rank"), similar, names.unionAll(ends)).drop("node")

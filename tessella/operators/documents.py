@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
+from ._shared import numbered
 
 #: Elements whose ids must be unique, with the id attribute and whether in a file or globally.
 UNIQUE_IDS = {
@@ -30,17 +31,18 @@ UNIQUE_IDS = {
 
 def row_bands(shapes: DataFrame, within: list[str], tolerance: float = 0.5) -> DataFrame:
     """shapes (id, left, top) with position: read in bands from the top. A band holds the shapes whose top is within the
-    tolerance of the band's first; in a band from left to right. A slide's shapes are folded in order on one row."""
-    rows = F.array_sort(F.collect_list(F.struct("top", "left", "id")))
-    start = F.struct(F.lit(None).cast("double").alias("first"), F.lit(0).alias("band"), F.array().cast("array<struct<band:int,left:double,top:double,id:bigint>>").alias("out"))
+    tolerance of the band's first; in a band from left to right. Only a slide's distinct tops are walked in order."""
+    tops = shapes.groupBy(*within).agg(F.array_sort(F.collect_set(F.col("top").cast("double"))).alias("tops"))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = acc["first"].isNull() | (F.abs(s["top"] - acc["first"]) > tolerance)
-        band = F.when(new, acc["band"] + 1).otherwise(acc["band"])
-        return F.struct(F.when(new, s["top"].cast("double")).otherwise(acc["first"]).alias("first"), band.alias("band"), F.concat(acc["out"], F.array(F.struct(band.alias("band"), s["left"].cast("double").alias("left"), s["top"].cast("double").alias("top"), s["id"].cast("long").alias("id")))).alias("out"))
+    def step(starts: Column, top: Column) -> Column:
+        new = (F.size(starts) == 0) | (top - F.element_at(starts, -1) > tolerance)
+        return F.when(new, F.concat(starts, F.array(top))).otherwise(starts)
 
-    folded = shapes.groupBy(*within).agg(rows.alias("rows")).select(*within, F.array_sort(F.aggregate("rows", start, step)["out"]).alias("out"))
-    return folded.select(*within, F.posexplode("out").alias("position", "s")).select(*within, "position", "s.band", "s.id")
+    bands = tops.select(*within, F.aggregate("tops", F.array().cast("array<double>"), step).alias("starts"))
+    own = shapes.select(*within, "id", "left", "top").join(bands, within)
+    rows = own.withColumn("band", F.size(F.filter("starts", lambda s: s <= F.col("top"))))
+    order = Window.partitionBy(*within).orderBy("band", "left", "top", "id")
+    return rows.select(*within, (F.row_number().over(order) - 1).alias("position"), "band", F.col("id").cast("long").alias("id"))
 
 
 def shape_overlaps(shapes: DataFrame, cell: int = 2) -> DataFrame:
@@ -108,9 +110,10 @@ def pages_of(rows: DataFrame, key: str, order: list[str], limit: int, offset: in
     return page.crossJoin(F.broadcast(total)).withColumns({"has_more": F.col("total") > end, "next_offset": F.when(F.col("total") > end, end)})  # one row
 
 
-def tool_metrics(calls: DataFrame) -> DataFrame:
-    """(tool, calls, durations in order of ts, id) of calls (tool, ts, id, duration)."""
-    return calls.groupBy("tool").agg(F.count(F.lit(1)).alias("calls"), F.transform(F.array_sort(F.collect_list(F.struct("ts", "id", "duration"))), lambda s: s["duration"]).alias("durations"))
+def tool_metrics(calls: DataFrame, size: int = 10_000) -> DataFrame:
+    """(tool, page, calls, durations in order of ts, id) of calls (tool, ts, id, duration); a page holds `size` calls, so a busy tool is no single row."""
+    placed = numbered(calls.select("tool", "ts", "id", "duration"), ["tool"], ["ts", "id"], "n").withColumn("page", F.floor((F.col("n") - 1) / size).cast("long"))
+    return placed.groupBy("tool", "page").agg(F.count(F.lit(1)).alias("calls"), F.transform(F.array_sort(F.collect_list(F.struct("n", "duration"))), lambda s: s["duration"]).alias("durations"))
 
 
 def run_report(results: DataFrame) -> DataFrame:
@@ -129,3 +132,13 @@ def grown_overflow(before: DataFrame, after: DataFrame, tolerance: float = 0.01)
     """Shapes (slide, shape_id, overflow) that overflow by more than before; missing counts 0."""
     both = after.join(before.withColumnRenamed("overflow", "was"), ["slide", "shape_id"], "left").withColumn("was", F.coalesce("was", F.lit(0.0)))
     return both.filter(F.col("overflow") > F.col("was") + tolerance)
+
+
+def first_value(rows: DataFrame, within: list[str], value: str, order: str) -> DataFrame:
+    """The first value that is there in each group, with its place in order."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*within).agg(F.min_by(value, order).alias(value), F.min(order).alias(order))
+
+
+def top_of(rows: DataFrame, within: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first `most` rows of each group in order, with place; the rank limit is applied before the shuffle too."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*within).orderBy(*order))).filter(F.col("place") <= most)

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
-from ._shared import present
+from ._shared import numbered, present, union
 
 
-def unresolved_references(refs: DataFrame, ids: DataFrame) -> DataFrame:
+def confident(rows: DataFrame, least: float, missing: float = 1.0) -> DataFrame:
+    """rows of at least this confidence; `missing` stands for one that is not given."""
+    return rows.filter(F.coalesce("confidence", F.lit(missing)) >= least)
+
+
+def unresolved_references(refs: DataFrame, ids: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """refs (phase, source_id, field, ref[, ref_type]) whose ref is neither empty, off-page nor among ids (id): one anti-join for all fields."""
     live = refs.filter(present(F.col("ref")).isNotNull())
     if "ref_type" in refs.columns:
         live = live.filter(~F.col("ref_type").eqNullSafe(F.lit("OffPage"))).drop("ref_type")
-    return live.join(ids.select(F.col("id").alias("ref")).filter("ref is not null").distinct(), "ref", "left_anti").select("phase", "source_id", "field", F.col("ref").alias("missing_reference"))
+    known = ids.select(*within, F.col("id").alias("ref")).filter("ref is not null").distinct()
+    return live.join(known, [*within, "ref"], "left_anti").select(*within, "phase", "source_id", "field", F.col("ref").alias("missing_reference"))
 
 
-def orphans(nodes: DataFrame, refs: DataFrame) -> DataFrame:
+def orphans(nodes: DataFrame, refs: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """nodes (id, tag, links) without links of their own and named by no ref (ref), by id or by tag."""
-    named = refs.select(present(F.col("ref")).alias("ref")).filter("ref is not null").distinct()
+    named = refs.select(*within, present(F.col("ref")).alias("ref")).filter("ref is not null").distinct()
     bare = nodes.filter(F.coalesce(F.col("links"), F.lit(0)) == 0)
-    by_id = bare.join(named.withColumnRenamed("ref", "id"), "id", "left_anti")
-    return by_id.join(named.withColumnRenamed("ref", "tag"), "tag", "left_anti").select("id", "tag")
+    by_id = bare.join(named.withColumnRenamed("ref", "id"), [*within, "id"], "left_anti")
+    return by_id.join(named.withColumnRenamed("ref", "tag"), [*within, "tag"], "left_anti").select(*within, "id", "tag")
 
 
 def incomplete_loops(loops: DataFrame) -> DataFrame:
@@ -31,28 +38,84 @@ def incomplete_loops(loops: DataFrame) -> DataFrame:
     return loops.select("loop_id", F.explode(gaps).alias("missing"))
 
 
-def ground_tags(entities: DataFrame, words: DataFrame, threshold: float = 0.8) -> DataFrame:
+def _substrings(text: Column, least: int) -> Column:
+    n = F.length(text)
+    parts = F.transform(F.sequence(F.lit(1), n - least + 1), lambda i: F.transform(F.sequence(F.lit(least), n - i + 1), lambda k: text.substr(i, k)))
+    return F.when(n >= least, F.array_distinct(F.flatten(parts)))
+
+
+def containing(keys: DataFrame, words: DataFrame, least: int = 1) -> DataFrame:
+    """(key, word) of keys (key) that hold a word (word) of at least `least` characters or stand in one.
+
+    Substrings are equi-joined, so only true pairs come up. Of a word only substrings of the keys' lengths are made.
+    """
+    inside = keys.select("key", F.explode(_substrings(F.col("key"), least)).alias("word")).join(words.select("word").distinct(), "word")
+    lengths = [r.n for r in keys.select(F.length("key").alias("n")).distinct().orderBy("n").collect()]  # one row a length
+    cuts = F.flatten(F.transform(F.array(*map(F.lit, lengths or [1])), lambda k: F.when(F.length("word") >= k, F.transform(F.sequence(F.lit(1), F.length("word") - k + 1), lambda i: F.col("word").substr(i, k))).otherwise(F.array().cast("array<string>"))))
+    outside = words.select("word").distinct().filter(F.length("word") >= least).select("word", F.explode(F.array_distinct(cuts)).alias("key")).join(keys.select("key").distinct(), "key")
+    return inside.select("key", "word").unionByName(outside.select("key", "word")).distinct()
+
+
+def alike(keys: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """(key, word) with the same characters at a share of places of at least the threshold.
+
+    Of m places, the longer one's length, at most k may differ, so of k + 1 stretches of places one is the same in both:
+    an equi-join on stretches, for each m that a text's length allows.
+    """
+    def stretches(rows: DataFrame, name: str) -> DataFrame:
+        n, text = F.length(name), F.col(name)
+        # A text of n characters meets longer ones of up to n / threshold.
+        most = F.floor(n / F.lit(threshold) + 1e-9).cast("int")
+        sized = rows.select(name, F.explode(F.sequence(n, most)).alias("m")).withColumn("k", F.floor(F.col("m") * (1 - threshold) + 1e-9).cast("int") + 1)
+        cut = sized.select(name, "m", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("j"))
+        low, high = F.floor(F.col("j") * F.col("m") / F.col("k")).cast("int"), F.floor((F.col("j") + 1) * F.col("m") / F.col("k")).cast("int")
+        return cut.filter(high <= n).select(name, "m", "j", text.substr(low + 1, high - low).alias("part"))
+
+    some = lambda rows, name: rows.select(name).distinct().filter(F.length(name) > 0)
+    pairs = stretches(some(keys, "key"), "key").join(stretches(some(words, "word"), "word"), ["m", "j", "part"])
+    pairs = pairs.filter(F.greatest(F.length("key"), F.length("word")) == F.col("m")).select("key", "word").distinct()
+    return pairs.filter(X.same_place_share(F.col("key"), F.col("word")) >= threshold)
+
+
+def ground_tags(entities: DataFrame, words: DataFrame, threshold: float = 0.8, within: tuple[str, ...] = ()) -> DataFrame:
     """entities (id, tag) matched with OCR words (ord, text): match is exact, fuzzy or none, matched the word.
 
     Exact: equal upper-case text; else the first word in order that holds the tag, lies in it, or has the same characters
-    at a share of places of at least the threshold. The words of one page are few; their table is broadcast by size.
+    at a share of places of at least the threshold. `within` names columns (a drawing) that must agree.
     """
-    clean = words.select("ord", F.upper(X.strip(F.col("text"))).alias("word")).filter(F.length("word") >= 2)
-    first = clean.groupBy("word").agg(F.min("ord").alias("ord"))
+    clean = words.select(*within, "ord", F.upper(X.strip(F.col("text"))).alias("word")).filter(F.length("word") >= 2)
+    first = clean.groupBy(*within, "word").agg(F.min("ord").alias("ord"))
     tags = entities.filter(present(F.col("tag")).isNotNull()).withColumn("key", F.upper(X.strip(F.col("tag"))))
-    exact = tags.join(first.select(F.col("word").alias("key"), F.col("word").alias("hit")), "key", "left")
-    open_keys = exact.filter("hit is null").select("key").distinct()
-    fuzzy = open_keys.join(first, X.either_contains(F.col("key"), F.col("word")) | (X.same_place_share(F.col("key"), F.col("word")) >= threshold)).groupBy("key").agg(F.min_by("word", "ord").alias("near"))
-    out = exact.join(fuzzy, "key", "left")
-    return out.select("id", "tag", F.when(F.col("hit").isNotNull(), "exact").when(F.col("near").isNotNull(), "fuzzy").otherwise("none").alias("match"), F.coalesce("hit", "near").alias("matched"))
+    exact = tags.join(first.select(*within, F.col("word").alias("key"), F.col("word").alias("hit")), [*within, "key"], "left")
+    open_keys = exact.filter("hit is null").select(*within, "key").distinct()
+    pairs = containing(open_keys.filter(F.length("key") > 0), first, 2).unionByName(alike(open_keys, first, threshold)).distinct()
+    empty = open_keys.filter(F.length("key") == 0).join(first, list(within), "inner") if within else open_keys.filter(F.length("key") == 0).crossJoin(first.orderBy("ord").limit(1))  # the empty text lies in every word
+    near = open_keys.join(pairs, "key").join(first, [*within, "word"]).select(*within, "key", "word", "ord").unionByName(empty.select(*within, "key", "word", "ord"))
+    fuzzy = near.groupBy(*within, "key").agg(F.min_by("word", "ord").alias("near"))
+    out = exact.join(fuzzy, [*within, "key"], "left")
+    return out.select(*within, "id", "tag", F.when(F.col("hit").isNotNull(), "exact").when(F.col("near").isNotNull(), "fuzzy").otherwise("none").alias("match"), F.coalesce("hit", "near").alias("matched"))
+
+
+def unmatched_words(words: DataFrame, grounded: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """(word, ord) of words of at least two characters that no entity was matched with, at their first place."""
+    clean = words.select(*within, F.upper(X.strip(F.col("text"))).alias("word"), "ord").filter(F.length("word") >= 2)
+    first = clean.groupBy(*within, "word").agg(F.min("ord").alias("ord"))
+    return first.join(grounded.select(*within, F.col("matched").alias("word")).filter("word is not null").distinct(), [*within, "word"], "left_anti")
+
+
+def ocr_stats(grounded: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """One row: tagged entities by how they were grounded, words without entity, the share grounded (0 without entities)."""
+    g = grounded.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("match") != "none").alias("validated"), F.count_if(F.col("match") == "exact").alias("exact"), F.count_if(F.col("match") == "fuzzy").alias("fuzzy"), F.count_if(F.col("match") == "none").alias("unvalidated"))
+    one = g.crossJoin(unmatched.agg(F.count(F.lit(1)).alias("ocr_only")))  # one row each
+    return one.withColumn("validation_rate", F.round(F.col("validated") / F.greatest(F.lit(1), F.col("total")), 3))
 
 
 def ungrounded(entities: DataFrame, words: DataFrame) -> DataFrame:
     """entities whose tag equals no word, holds none and lies in none."""
     distinct = words.select(F.upper("text").alias("word")).filter("word <> ''").distinct()
     tags = entities.filter(present(F.col("tag")).isNotNull()).withColumn("key", F.upper("tag"))
-    rest = tags.join(distinct.withColumnRenamed("word", "key"), "key", "left_anti")
-    return rest.join(distinct, X.either_contains(F.col("key"), F.col("word")), "left_anti").drop("key")
+    found = containing(tags.select("key").distinct(), distinct).select("key").distinct()
+    return tags.join(found, "key", "left_anti").drop("key")
 
 
 def duplicate_ids(nodes: DataFrame) -> DataFrame:
@@ -61,16 +124,46 @@ def duplicate_ids(nodes: DataFrame) -> DataFrame:
 
 
 def rename_duplicates(nodes: DataFrame) -> DataFrame:
-    """nodes with new_id: later occurrences get _1, _2, ... in order."""
-    n = F.row_number().over(Window.partitionBy("id").orderBy("ord")) - 1
-    return nodes.withColumn("n", n).withColumn("new_id", F.when(F.col("n") > 0, F.concat_ws("_", "id", F.col("n").cast("string"))).otherwise(F.col("id"))).drop("n")
-
+    """nodes (id, ord) with new_id: in order, an id that was there before gets the first free suffix of _1, _2, ...
 
-def fill_ids(rows: DataFrame, prefix: str, within: list[str]) -> DataFrame:
+    Ids that cannot meet one another's suffixed forms are numbered in parallel. Ids of one stem with suffixes already among
+    them (A, A_1, A) are walked in order, stem by stem, by a kernel that holds the ids of one stem at a time.
+    """
+    stem = F.regexp_replace("id", r"(_\d+)+$", "")
+    rows = nodes.withColumn("stem", stem)
+    mixed = rows.groupBy("stem").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y").select("stem")
+    repeated = rows.join(mixed, "stem", "left_semi").groupBy("stem", "id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("stem").distinct()
+    walked = rows.join(repeated, "stem", "left_semi")
+    plain = numbered(rows.join(repeated, "stem", "left_anti").filter("id is not null"), ["id"], ["ord"], "n")
+    plain = plain.withColumn("new_id", F.when(F.col("n") > 1, F.concat_ws("_", "id", (F.col("n") - 1).cast("string"))).otherwise(F.col("id"))).drop("n", "stem")
+    bare = rows.filter("id is null").withColumn("new_id", F.col("id")).drop("stem")
+    schema = T.StructType([*walked.schema.fields, T.StructField("new_id", T.StringType())])
+
+    def walk(frames):
+        stem, seen, last = None, set(), {}
+        for frame in frames:
+            out = []
+            for own, i in zip(frame["stem"], frame["id"], strict=True):
+                if own != stem:
+                    stem, seen, last = own, set(), {}
+                new = i
+                while new in seen:
+                    last[i] = last.get(i, 0) + 1
+                    new = f"{i}_{last[i]}"
+                seen.add(new)
+                out.append(new)
+            yield frame.assign(new_id=out)
+
+    walked = walked.repartition("stem").sortWithinPartitions("stem", "ord").mapInPandas(walk, schema).drop("stem")
+    return union([plain, bare, walked])
+
+
+def fill_ids(rows: DataFrame, prefix: str, within: list[str], order: list[str] | None = None) -> DataFrame:
     """rows with ids generated in order (PREFIX-001, ...) where they are missing."""
-    missing = present(F.col("id")).isNull()
-    n = F.row_number().over(Window.partitionBy(*within, missing).orderBy("ord"))
-    return rows.withColumn("new_id", F.when(missing, X.generated_id(prefix, n)).otherwise(F.col("id")))
+    missing = present(F.col("id").cast("string")).isNull()
+    there = rows.filter(~missing).withColumn("new_id", F.col("id"))
+    made = numbered(rows.filter(missing), within, order or ["ord"], "made").withColumn("new_id", X.generated_id(prefix, F.col("made"))).drop("made")
+    return there.unionByName(made)
 
 
 def repair(entities: DataFrame, errors: DataFrame) -> DataFrame:
@@ -80,6 +173,13 @@ def repair(entities: DataFrame, errors: DataFrame) -> DataFrame:
     return out.withColumns({"seam_break": F.array_contains("error_types", "SEAM_BREAK"), "repaired": F.size("error_types") > 0})
 
 
+def clear_references(lines: DataFrame, errors: DataFrame) -> DataFrame:
+    """lines (id, source, target) with the ends nulled that errors (entity_id, error_type, field) call dangling: the thorough repair."""
+    ends = errors.filter("error_type = 'DANGLING_REF'").groupBy(F.col("entity_id").alias("id")).agg(*(F.bool_or(F.col("field") == f"{side}.node_id").alias(f"no_{side}") for side in ("source", "target")))
+    out = lines.join(ends, "id", "left")
+    return out.withColumns({side: F.when(~F.coalesce(f"no_{side}", F.lit(False)), F.col(side)) for side in ("source", "target")}).drop("no_source", "no_target")
+
+
 def gates(errors: DataFrame, kinds: list[str]) -> DataFrame:
     """One row: for each kind whether no error of it stands, and whether all gates pass."""
     counts = [F.count_if(F.col("error_type") == k).alias(k) for k in kinds]
@@ -98,8 +198,12 @@ def rate(part: Column, total: Column, empty: float = 0.0) -> Column:
     return F.round(F.coalesce(F.try_divide(part, total), F.lit(empty)), 3)
 
 
-def quality_metrics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row of counts and rates of nodes (id, kind, tag, ocr_validated, tag_verified) and edges (kind, source, target, named, propagated, path, seam_break)."""
+def quality_metrics(nodes: DataFrame, edges: DataFrame, validation: DataFrame | None = None) -> DataFrame:
+    """One row of counts and rates of nodes (id, kind, tag, ocr_validated, tag_verified) and edges (kind, source, target, named, propagated, path, seam_break).
+
+    validation is one row of unresolved_references, orphan_nodes, incomplete_loops and orthogonality_warnings, to which is_valid
+    is added; without it they count 0 and is_valid is false, as for a drawing that was never checked.
+    """
     from ..functions.geometry import near_boundary
 
     ids = nodes.select("id").filter("id is not null").distinct().withColumn("known", F.lit(True))
@@ -122,7 +226,19 @@ def quality_metrics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "ocr_unvalidated": F.col("total_entities") - F.col("ocr_validated"), "ocr_validation_rate": rate(F.col("ocr_validated"), F.col("total_entities")), "label_coverage": rate(F.col("labeled_lines"), F.col("total_lines")),
         "edge_connection_rate": rate(F.col("connected_endpoints"), total), "dangling_ref_rate": rate(F.col("dangling_endpoints"), total), "seam_break_rate": rate(F.col("seam_breaks"), F.col("total_lines")),
         "ungrounded_tags": F.col("tagged") - F.col("grounded_tags"), "tag_grounding_rate": rate(F.col("grounded_tags"), F.col("tagged"), 1.0),
-    }).drop("tagged")
+    }).drop("tagged").crossJoin(validity(validation) if validation is not None else _unchecked(nodes.sparkSession))
+
+
+CHECKS = ("unresolved_references", "orphan_nodes", "incomplete_loops", "orthogonality_warnings")
+
+
+def validity(counts: DataFrame) -> DataFrame:
+    """One row of check counts with is_valid: skewed segments alone make nothing invalid."""
+    return counts.select(*CHECKS, _all([F.col(c) == 0 for c in CHECKS[:3]]).alias("is_valid"))
+
+
+def _unchecked(spark) -> DataFrame:
+    return spark.range(1).select(*(F.lit(0).cast("long").alias(c) for c in CHECKS), F.lit(False).alias("is_valid"))
 
 
 def compare_metrics(before: DataFrame, after: DataFrame) -> DataFrame:

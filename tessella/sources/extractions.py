@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,27 +19,49 @@ EDGE = (
     f"struct<id:string,tag:string,source:{_END},target:{_END},line_type:string,specifications:struct<line_number:string,full_spec_string:string>,loop_id:string,"
     "route_waypoints:array<array<int>>,inline_components:array<string>,confidence:double>"
 )
-UTILITY = "struct<id:string,type:string,position:struct<x:int,y:int>,connected_to:string>"
+UTILITY = "struct<id:string,tag:string,type:string,position:struct<x:int,y:int>,connected_to:string,confidence:double>"
+LEGEND = "struct<symbols:array<struct<symbol_id:string,description:string>>,line_types:array<struct<line_type:string,description:string>>,abbreviations:array<struct<abbreviation:string,meaning:string>>>"
+LOGIC = (
+    "struct<flow_sequences:array<struct<sequence_id:string,nodes:array<string>>>,control_relationships:array<struct<loop_id:string,sensor:string,controller:string,final_element:string>>,"
+    "interlocks:array<struct<interlock_id:string,trigger_instrument:string,affected_equipment:array<string>>>>"
+)
 EXTRACTION = (
-    f"metadata struct<source_image:string,title:string>, nodes struct<equipment:array<{NODE}>,instruments:array<{NODE}>,valves:array<{NODE}>>, "
-    f"edges struct<process_lines:array<{EDGE}>,signal_lines:array<{EDGE}>>, utilities array<{UTILITY}>, legend struct<symbols:array<struct<symbol_id:string,description:string>>>"
+    f"source_image string, metadata struct<source_image:string,title:string>, nodes struct<equipment:array<{NODE}>,instruments:array<{NODE}>,valves:array<{NODE}>>, "
+    f"edges struct<process_lines:array<{EDGE}>,signal_lines:array<{EDGE}>>, utilities array<{UTILITY}>, legend {LEGEND}, process_logic {LOGIC}, "
+    "control_loops array<struct<loop_id:string,instruments:array<string>>>"
 )
 TILES = "source_image string, tiles array<struct<tile_id:int,filename:string,normalized_bbox:struct<x1:int,y1:int,x2:int,y2:int>>>"
 DETECTION = "struct<text:string,bbox:array<int>,type:string,confidence:double>"
 OCR = f"tile_id string, all_extractions array<{DETECTION}>, extractions array<{DETECTION}>"
 
 
-def read_extractions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row a file with file and file_ord: the order of the paths, on which all later ties rest. Missing files are skipped."""
-    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], k) for k, p in enumerate(paths)], "file string, file_ord int")
-    rows = spark.read.schema(EXTRACTION).option("multiLine", True).option("ignoreMissingFiles", True).json(paths)
-    return rows.select("*", F.col("_metadata.file_name").alias("file")).join(F.broadcast(order), "file")
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that are there, as the file system names them; looked up by Spark's own file systems."""
+    conf, out = spark._jsc.hadoopConfiguration(), []
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        out.append(fs.makeQualified(path).toUri().toString() if fs.exists(path) else None)
+    return out
+
+
+def read_extractions(spark: SparkSession, paths: list[str], drawing: str = "drawing") -> DataFrame:
+    """One row a file with drawing, file and file_ord: the order of the paths, on which all later ties rest. Missing files are skipped."""
+    found = existing(spark, paths)
+    plain = lambda uri: re.sub(r"^file:/+", "/", uri)
+    rows = [(plain(u), p.rsplit("/", 1)[-1], k) for k, (u, p) in enumerate(zip(found, paths, strict=True)) if u]
+    order = spark.createDataFrame(rows, "uri string, file string, file_ord int")
+    if not rows:
+        return spark.createDataFrame([], EXTRACTION).select("*", F.lit(drawing).alias("drawing"), F.lit("").alias("file"), F.lit(0).alias("file_ord"))
+    read = spark.read.schema(EXTRACTION).option("multiLine", True).json([u for u in found if u])
+    uri = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
+    return read.select("*", uri.alias("uri")).join(F.broadcast(order), "uri").drop("uri").withColumn("drawing", F.lit(drawing))
 
 
-def read_tiles(spark: SparkSession, path: str) -> DataFrame:
-    """(file, x1, y1, x2, y2): the place of each extraction file's tile, by the tile's file name."""
+def read_tiles(spark: SparkSession, path: str, drawing: str = "drawing") -> DataFrame:
+    """(drawing, file, x1, y1, x2, y2): the place of each extraction file's tile, by the tile's file name."""
     tiles = spark.read.schema(TILES).option("multiLine", True).json(path).select(F.explode("tiles").alias("t"))
-    return tiles.select(F.regexp_replace("t.filename", r"\.png$", ".json").alias("file"), "t.normalized_bbox.*")
+    return tiles.select(F.lit(drawing).alias("drawing"), F.regexp_replace("t.filename", r"\.png$", ".json").alias("file"), "t.normalized_bbox.*")
 
 
 def read_ocr(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -47,6 +70,11 @@ def read_ocr(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.select(F.col("_metadata.file_name").alias("file"), "tile_id", F.posexplode(F.coalesce("all_extractions", "extractions", F.array().cast(f"array<{DETECTION}>"))).alias("ord", "d")).select("file", "tile_id", "ord", "d.*")
 
 
+def read_ocr_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(text): the distinct OCR texts, for grounding checks."""
+    return read_ocr(spark, paths).select("text").filter("text is not null").distinct()
+
+
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
     """(question, answer), stripped; pairs without either part are skipped."""
     pairs = spark.read.format("xml").option("rowTag", "qa_pair").schema("question string, answer string").load(path)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
@@ -27,6 +28,37 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInPandas(unpack, "package string, name string, xml string")
 
 
+def read_folder_parts(spark: SparkSession, path: str, most_bytes: int = 64 << 20) -> DataFrame:
+    """(name, xml) of one unpacked package: every *.xml and *.rels file below its folder, by its path from there.
+
+    Spark's readers pass over names like _rels/.rels, so the files of the one package are read through its file system on the
+    driver; a folder of more than most_bytes is refused (zip it and use `read_parts`).
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base, found, rows, total = fs.makeQualified(root).toUri(), fs.listFiles(root, True), [], 0
+    while found.hasNext():
+        status = found.next()
+        name = base.relativize(status.getPath().toUri()).getPath()
+        if not name.endswith((".xml", ".rels")):
+            continue
+        total += status.getLen()
+        if total > most_bytes:
+            raise ValueError(f"{path} holds more than {most_bytes} bytes of parts")
+        stream = fs.open(status.getPath())
+        rows.append((name.rsplit(path.rstrip("/") + "/", 1)[-1], bytes(stream.readAllBytes()).decode("utf-8", "replace")))
+        stream.close()
+    return spark.createDataFrame(rows, "name string, xml string")
+
+
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content, width, height) of the images below a path; sizes are read from PNG heads and null for other formats."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
+    png = F.hex(F.substring("content", 1, 8)) == "89504E470D0A1A0A"
+    size = lambda at: F.when(png, F.conv(F.hex(F.substring("content", at, 4)), 16, 10).cast("int"))
+    return rows.withColumns({"width": size(17), "height": size(21)})
+
+
 def elements(parts: DataFrame) -> DataFrame:
     """(package, part, name, attrs, line, ancestors): elements in document order with their path of names."""
 

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from tessella import catalogue
+from tessella import catalogue, catalogue_decks, catalogue_drawings  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")

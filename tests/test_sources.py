@@ -29,10 +29,10 @@ def drawing(tmp_path):
 
 def test_merge_plan(spark, drawing):
     files, tiles = drawing
-    out = merge(S.read_extractions(spark, files[:2]), S.read_tiles(spark, tiles), threshold=0.3)
+    out = merge(S.read_extractions(spark, files), S.read_tiles(spark, tiles), threshold=0.3)
     nodes = {r.id: tuple(r.box) for r in out["nodes"].collect()}
     assert nodes == {"EQ-001": (0, 0, 100, 50), "INST-1": (0, 900, 50, 1000)}
-    assert [r.id for r in out["audit"].collect()] == ["EQ-009"]
+    assert [(r.action, r.kept_name, r.dropped_name) for r in out["audit"].collect()] == [("merged_duplicate", "P-101", "P-101")]
     lines = {r.id: (r.label, r.propagated) for r in out["lines"].collect()}
     assert lines == {"LINE-001": ("4-PA-1", False), "LINE-002": ("4-PA-1", True)}
     assert [(r.source_id, r.missing_reference) for r in out["unresolved"].collect()] == [("LINE-001", "NOPE")]
