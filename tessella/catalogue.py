@@ -229,9 +229,12 @@ SELECT DISTINCT unnest(kept) AS ord FROM (SELECT kept FROM walk QUALIFY row_numb
 _UV = _SMALLER.replace("a.", "u.").replace("b.", "v.")
 
 
-@query(_greedy(f"{_BOXES}, src AS (SELECT *, id // 100 AS g FROM boxes)", "tag IS NULL, confidence DESC, ord", "g", f"(u.tag IS NULL OR v.tag IS NULL OR u.tag = v.tag) AND {_UV} >= 0.3"))
+@query(_greedy(f"{_BOXES}, src AS (SELECT id, ord, tag, confidence, x1 % 150 AS x1, x1 % 150 + x2 - x1 AS x2, y1 % 150 AS y1, y1 % 150 + y2 - y1 AS y2, id // 100 AS g FROM boxes)", "tag IS NULL, confidence DESC, ord", "g", f"(u.tag IS NULL OR v.tag IS NULL OR u.tag = v.tag) AND {_UV} >= 0.3"))
 def q_greedy_suppress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.spatial_dedup(_boxes(spark, sf_dir).withColumn("g", F.floor(F.col("id") / 100)), ["g"], 0.3).filter("kept").select("ord")
+    low = lambda c: F.col(f"box.{c}") % 150
+    size = lambda c: F.col(f"box.{c}2") - F.col(f"box.{c}1")
+    tight = G.box(low("y1"), low("x1"), low("y1") + size("y"), low("x1") + size("x"))
+    return dedup.spatial_dedup(_boxes(spark, sf_dir).withColumns({"box": tight, "g": F.floor(F.col("id") / 100)}), ["g"], 0.3).filter("kept").select("ord")
 
 
 @query(_greedy(f"{_BOXES}, src AS (SELECT *, id % 25 AS g FROM boxes)", "confidence DESC, ord", "g", f"CAST({_OVER.replace('a.', 'v.').replace('b.', 'u.')} AS DOUBLE) / {_AREA.format('v')} > 0.4"))

@@ -11,7 +11,8 @@ from .functions import css as C
 from .functions import geometry as G
 from .functions import text as X
 from .operators import decks, documents, markup
-from .sources import sinks
+from .operators.graph import flatten_groups
+from .sources import packages, sinks
 
 
 def _text(c: Column) -> Column:
@@ -335,3 +336,41 @@ def q_parsed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.array(F.concat(F.lit(" A : v"), _text(k), F.lit(": x")), F.lit("malformed"), F.when(k % 2 == 0, "B:first").otherwise("C:"), F.when(k % 2 == 0, "B: second ").otherwise("none"))
     pairs = X.parse_pairs(entries, ":")
     return _read(spark, sf_dir, "customer", "c_custkey").select(k.alias("k"), F.try_element_at(pairs, F.lit("A")).alias("a"), F.try_element_at(pairs, F.lit("B")).alias("b"), X.title_case(F.concat(F.lit("skill-"), _text(k), F.lit("-name"))).alias("title"))
+
+
+# ------------------------------------------------------------------ slides
+
+_NS = 'xmlns:p="urn:p" xmlns:a="urn:a"'
+
+
+def _slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slide for each customer: a title, a group that holds a shape, and a bulleted body."""
+    k = F.col("c_custkey")
+    at = lambda tag, x, y: F.concat(F.lit(f"<p:{tag}><a:xfrm><a:off x='"), _text(x), F.lit("' y='"), _text(y), F.lit("'/><a:ext cx='914400' cy='457200'/></a:xfrm>"), F.lit(f"</p:{tag}>"))
+    para = lambda props, run, text: F.concat(F.lit(f"<a:p>{props}<a:r>"), run, F.lit("<a:t>"), text, F.lit("</a:t></a:r></a:p>"))
+    shape = lambda ph, place, *paras: F.concat(F.lit(f"<p:sp><p:nvSpPr><p:nvPr>{ph}</p:nvPr></p:nvSpPr>"), place, F.lit("<p:txBody>"), *paras, F.lit("</p:txBody></p:sp>"))
+    font = F.concat(F.lit("<a:rPr sz='"), _text(k % 5 * 200 + 1200), F.when(k % 2 == 0, "' b='1'").otherwise("'"), F.lit("><a:solidFill><a:srgbClr val='FF0000'/></a:solidFill></a:rPr>"))
+    title = shape("<p:ph type='title'/>", at("spPr", k % 100 * 914, k % 7 * 914), para("<a:pPr algn='ctr'/>", font, F.concat(F.lit(" Title "), _text(k))))
+    inner = shape("", at("spPr", k % 11 + 10, k % 13 + 10), para("", F.lit(""), F.lit("inner")))
+    body = shape("<p:ph type='body'/>", at("spPr", F.lit(0), F.lit(0)), para("<a:pPr lvl='1'><a:spcBef><a:spcPts val='600'/></a:spcBef><a:buChar char='o'/></a:pPr>", F.lit(""), F.lit("point")), para("<a:pPr><a:lnSpc><a:spcPct val='150000'/></a:lnSpc></a:pPr>", F.lit(""), F.lit("more")))
+    xml = F.concat(F.lit(f"<p:sld {_NS}><p:cSld><p:spTree><p:nvGrpSpPr/>"), title, F.lit("<p:grpSp>"), at("grpSpPr", k % 17 * 100, k % 19 * 100), inner, F.lit("</p:grpSp>"), body, F.lit("</p:spTree></p:cSld></p:sld>"))
+    return _read(spark, sf_dir, "customer", "c_custkey").select(_text(F.floor(k / 10)).alias("package"), F.concat(F.lit("ppt/slides/slide"), _text(k + 1), F.lit(".xml")).alias("name"), F.when(k % 40 == 39, "<no").otherwise(xml).alias("xml"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 40 <> 39) SELECT CAST(k AS INT) AS slide, 0 AS id, k % 100 * 914 AS x, k % 7 * 914 AS y, 'TITLE' AS placeholder, concat('Title ', CAST(k AS VARCHAR)) AS text FROM c
+UNION ALL SELECT k, 2, k % 11 + 10, k % 13 + 10, NULL, 'inner' FROM c UNION ALL SELECT k, 3, 0, 0, 'BODY', concat('point', chr(10), 'more') FROM c""")
+def q_slide_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packages.slide_shapes(_slides(spark, sf_dir))
+    key = lambda c: F.struct("package", "slide", F.col(c).alias("id"))
+    # The group's own offset is where its shapes' places are counted from.
+    placed = flatten_groups(rows.select(key("id").alias("id"), F.when(F.col("parent").isNotNull(), key("parent")).alias("parent"), F.col("left_emu").alias("dx"), F.col("top_emu").alias("dy")))
+    there = decks.valid_shapes(rows).withColumn("key", key("id")).join(placed.select(F.col("id").alias("key"), "x", "y"), "key")
+    return there.select("slide", F.col("id").cast("int").alias("id"), "x", "y", "placeholder", "text")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 40 <> 39) SELECT k AS slide, 0 AS id, 0 AS pos, false AS bullet, CAST(NULL AS INT) AS level, 'CENTER' AS alignment, CAST(k % 5 * 2 + 12 AS DOUBLE) AS font_size, CASE WHEN k % 2 = 0 THEN true END AS bold, 'FF0000' AS color, CAST(NULL AS DOUBLE) AS space_before, CAST(NULL AS DOUBLE) AS line_spacing FROM c
+UNION ALL SELECT k, 2, 0, false, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM c UNION ALL SELECT k, 3, 0, true, 1, NULL, NULL, NULL, NULL, 6.0, NULL FROM c UNION ALL SELECT k, 3, 1, false, NULL, NULL, NULL, NULL, NULL, NULL, 18.0 FROM c""")
+def q_slide_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packages.slide_shapes(_slides(spark, sf_dir))
+    fields = ["pos", "bullet", "level", "alignment", "font_size", "bold", "color", "space_before", "line_spacing"]
+    return rows.select(F.col("slide").cast("long").alias("slide"), F.col("id").cast("int").alias("id"), F.explode("paragraphs").alias("p")).select("slide", "id", *(f"p.{f}" for f in fields))

@@ -389,11 +389,11 @@ def q_dashed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("image", "cluster", "segments", F.round("mean_length", 6).alias("mean_length"), F.array_join(F.transform("path", lambda p: F.concat(_text(p["x"]), F.lit(":"), _text(p["y"]))), " ").alias("path"))
 
 
-@query("""WITH c AS (SELECT p_partkey AS ord, p_partkey // 50 AS image, CAST(p_partkey % 3 + 3 AS INT) AS vertices, p_size * 40 + p_partkey % 100 AS area, CAST(p_size AS INT) AS w, CAST(p_partkey % 60 AS INT) AS h FROM part),
+@query("""WITH c AS (SELECT p_partkey AS ord, p_partkey // 50 AS image, CAST(p_partkey % 5 + 2 AS INT) AS vertices, p_size * 40 + p_partkey % 100 AS area, CAST(p_size AS INT) AS w, CAST(p_partkey % 6 * 7 AS INT) AS h FROM part),
 r AS (SELECT *, CASE WHEN h = 0 THEN 0 ELSE w / h END AS ratio FROM c) SELECT image, ord, printf('CV-RECT-%03d', row_number() OVER (PARTITION BY image ORDER BY ord)) AS id, round(ratio, 2) AS aspect_ratio FROM r WHERE vertices = 4 AND area BETWEEN 500 AND 50000 AND ratio BETWEEN 0.5 AND 2""")
 def q_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    rows = _read(spark, sf_dir, "part", "p_partkey", "p_size").select(k.alias("ord"), F.floor(k / 50).alias("image"), (k % 3 + 3).cast("int").alias("vertices"), (F.col("p_size") * 40 + k % 100).alias("area"), F.col("p_size").cast("int").alias("w"), (k % 60).cast("int").alias("h"))
+    rows = _read(spark, sf_dir, "part", "p_partkey", "p_size").select(k.alias("ord"), F.floor(k / 50).alias("image"), (k % 5 + 2).cast("int").alias("vertices"), (F.col("p_size") * 40 + k % 100).alias("area"), F.col("p_size").cast("int").alias("w"), (k % 6 * 7).cast("int").alias("h"))
     return vision.with_candidate_ids(vision.rectangles(rows), "CV-RECT", ["image"], ["ord"]).select("image", "ord", "id", "aspect_ratio")
 
 
@@ -450,3 +450,39 @@ def q_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_text(sinks.markdown_report(summary, tasks), at)
     lines = spark.read.text(at)
     return lines.agg(F.count_if(F.col("value").startswith("#") & F.col("value").rlike("^#+ (Task [0-9]+|Evaluation report)")).alias("parts"), F.count_if(F.col("value") == "**Correct**: yes").alias("correct"))
+
+
+@query("""WITH m AS (SELECT l_linenumber % 4 AS run, count(*) AS orphan_nodes, count(*) FILTER (l_quantity > 25) AS ocr_unvalidated, count(*) FILTER (l_discount > 0.05) AS total_lines FROM lineitem GROUP BY 1),
+u AS (SELECT run, metric, CAST(value AS DOUBLE) AS value FROM m UNPIVOT (value FOR metric IN (orphan_nodes, ocr_unvalidated, total_lines)))
+SELECT CAST(b.run AS INT) AS step, a.metric, a.value AS "before", b.value AS "after", CASE WHEN a.metric = 'orphan_nodes' OR (a.metric = 'ocr_unvalidated' AND b.run = 1) THEN a.value - b.value ELSE b.value - a.value END AS gain FROM u a JOIN u b ON a.metric = b.metric AND b.run = a.run + 1 WHERE b.run <= 2""")
+def q_compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _read(spark, sf_dir, "lineitem", "l_linenumber", "l_quantity", "l_discount")
+    names = ["orphan_nodes", "ocr_unvalidated", "total_lines"]
+
+    def run(n: int) -> DataFrame:
+        one = items.filter(F.col("l_linenumber") % 4 == n).agg(F.count(F.lit(1)).cast("double").alias(names[0]), F.count_if(F.col("l_quantity") > 25).cast("double").alias(names[1]), F.count_if(F.col("l_discount") > 0.05).cast("double").alias(names[2]))
+        return one.unpivot([], names, "metric", "value")
+
+    return integrity.compare_runs([run(n) for n in range(4)])
+
+
+@query(f"WITH {_DETECTED}, tiles AS (SELECT concat('tile_', CAST(s_suppkey AS VARCHAR)) AS tile FROM supplier), g AS (SELECT tile, count(*) AS n FROM det WHERE coalesce(confidence, 0) >= 0.7 GROUP BY 1) SELECT tile, coalesce(n, 0) AS n_ocr, CASE WHEN n > 0 THEN 'grounded' ELSE 'free' END AS mode FROM tiles LEFT JOIN g USING (tile)")
+def q_prompt_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = _read(spark, sf_dir, "supplier", "s_suppkey").select(F.concat(F.lit("tile_"), _text(F.col("s_suppkey"))).alias("tile"))
+    back = _again(sinks.prompt_documents(ocr.prompt_inputs(tiles, _detected(spark, sf_dir))), by="tile")
+    return back.select("tile", "prompt.n_ocr", "prompt.mode")
+
+
+@query(f"""WITH {_SEGMENTS}, s AS (SELECT image, count(*) AS total, count(*) FILTER (x1 < 60) AS solid FROM seg GROUP BY 1), r AS (SELECT p_partkey // 50 AS image, count(*) AS shapes FROM part GROUP BY 1)
+SELECT coalesce(s.image, r.image) AS image, coalesce(solid, 0) AS solid, coalesce(total - solid, 0) AS dashed, coalesce(shapes, 0) AS shapes FROM s FULL JOIN r ON r.image = s.image""")
+def q_candidate_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _segments(spark, sf_dir).select("image", "ord", F.when(F.col("x1") < 60, "Process_Candidate").otherwise("Signal_Candidate").alias("type"), "x1", "y1")
+    shapes = _read(spark, sf_dir, "part", "p_partkey").select(F.floor(F.col("p_partkey") / 50).alias("image"), F.col("p_partkey").alias("ord"), F.lit("FieldInstrument").alias("type"))
+    back = _again(sinks.candidate_documents(lines, shapes))
+    return back.select("image", *(F.col(f"summary.{a}").cast("long").alias(b) for a, b in (("total_solid_lines", "solid"), ("total_dashed_lines", "dashed"), ("total_shapes", "shapes"))))
+
+
+@query("SELECT o_orderstatus AS name, CAST(count(*) AS VARCHAR) AS value FROM orders GROUP BY 1")
+def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = _read(spark, sf_dir, "orders", "o_orderstatus").groupBy(F.col("o_orderstatus").alias("name")).agg(_text(F.count(F.lit(1))).alias("value"))
+    return _again(sinks.manifest(steps)).select(F.explode("outputs").alias("name", "value"))

@@ -241,6 +241,20 @@ def _unchecked(spark) -> DataFrame:
     return spark.range(1).select(*(F.lit(0).cast("long").alias(c) for c in CHECKS), F.lit(False).alias("is_valid"))
 
 
+def compare_runs(runs: list[DataFrame], most: int = 3) -> DataFrame:
+    """(step, metric, before, after, gain) of each of the first `most` runs' metrics (metric, value) against the run before it; is_valid is no number.
+
+    A count of unvalidated entities is better when lower in the first step only.
+    """
+    steps = []
+    for k, (a, b) in enumerate(zip(runs[: most - 1], runs[1:most], strict=False)):
+        step = compare_metrics(a, b).filter("metric <> 'is_valid'").withColumn("step", F.lit(k + 1))
+        if k:
+            step = step.withColumn("gain", F.when(F.col("metric").contains("unvalidated") & ~F.col("metric").contains("rate"), F.col("after") - F.col("before")).otherwise(F.col("gain")))
+        steps.append(step)
+    return union(steps).select("step", "metric", "before", "after", "gain")
+
+
 def compare_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
     """(metric, before, after, gain) of two metric tables (metric, value)."""
     both = before.withColumnRenamed("value", "before").join(after.withColumnRenamed("value", "after"), "metric")

@@ -139,3 +139,22 @@ def parts_of(zipped: DataFrame) -> DataFrame:
                     continue
 
     return zipped.mapInPandas(unzip, "package string, name string, xml string")
+
+
+def prompt_documents(prompts: DataFrame) -> DataFrame:
+    """(tile, prompt): one record a tile of what `prompt_inputs` gathered, for a file of its own each."""
+    rest = [c for c in prompts.columns if c != "tile"]
+    return prompts.select("tile", F.struct(*rest).alias("prompt"))
+
+
+def candidate_documents(lines: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(image, lines, shapes, summary): the detection document of each image from its candidates (image, ord, type, ...)."""
+    both = gathered(lines, ["image"], "lines").join(gathered(shapes, ["image"], "shapes"), ["image"], "full")
+    empty = {n: F.coalesce(n, F.array().cast(both.schema[n].dataType)) for n in ("lines", "shapes")}
+    kind = lambda n, name: F.size(F.filter(n, lambda r: r["type"] == name))
+    return both.withColumns(empty).withColumn("summary", F.struct(kind("lines", "Process_Candidate").alias("total_solid_lines"), kind("lines", "Signal_Candidate").alias("total_dashed_lines"), F.size("shapes").alias("total_shapes")))
+
+
+def manifest(entries: DataFrame) -> DataFrame:
+    """One row of a run's outputs (name, value), by name."""
+    return entries.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("outputs"))  # one entry a step
