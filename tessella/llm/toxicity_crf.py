@@ -32,6 +32,10 @@ from ._text import LETTER_DIGIT, LOWER, U64, buffer_of, mix, span_hash, text_bat
 
 #: Labelled documents of each class that training may see.
 SAMPLE_PER_CLASS = 600
+#: Sample documents of more bytes are not trained on (they are scored like all others), so the driver holds a bounded sample.
+SAMPLE_TEXT_BYTES = 1 << 16
+#: Sentences with a cue, and without, that the chain is trained on; more are thinned out evenly.
+SENTENCES = 10_000
 #: A cue is a feature this many times as frequent in toxic sample documents, by at least this log-likelihood
 #: ratio: at 25, chance makes less than one in a million features a cue.
 CUE_RATIO, CUE_G = 15.0, 25.0
@@ -201,7 +205,8 @@ def train(texts: list[str], toxic: list[bool], rounds: int = 60) -> Crf:
     size = np.minimum(SENTENCE, first[1:][doc[starts]] - starts)
     has = np.add.reduceat(cue, starts) > 0 if len(starts) else np.zeros(0, bool)
     rest = np.flatnonzero(~has)
-    take = np.concatenate([np.flatnonzero(has)[:10_000], rest[:: max(1, len(rest) // 10_000)]])
+    some = np.flatnonzero(has)
+    take = np.concatenate([x[:: max(1, -(-len(x) // SENTENCES))] for x in (some, rest)])
     starts, size = starts[take], size[take]
     if len(starts):
         places = starts[:, None] + np.arange(SENTENCE)
@@ -248,12 +253,12 @@ def train(texts: list[str], toxic: list[bool], rounds: int = 60) -> Crf:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Crf:
-    """Train on a sample of at most about per_class labelled documents of each class."""
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, text_bytes: int = SAMPLE_TEXT_BYTES) -> Crf:
+    """Train on a sample of at most about per_class labelled documents of each class, of at most text_bytes each."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = class_sample(known, "doc_id", "toxic", per_class)
     # At most about two classes of per_class ids.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text is not null").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter(F.octet_length("text") <= text_bytes).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text for r in rows], [r.toxic == 1 for r in rows])
 
