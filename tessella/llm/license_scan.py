@@ -54,6 +54,8 @@ VARIANTS = 60
 SAMPLE_DOCS = 400
 #: Share of a notice's word pairs that a unit must hold.
 CONFIRM = 0.6
+#: What training takes of its sample: documents of so many bytes at most, and of each so many lines and ordinary words, at even steps.
+SAMPLE_TEXT_BYTES, LINES_OF_TEXT, WORDS_OF_TEXT = 1 << 16, 20, 100
 BATCH_BYTES = 4 << 20
 _SEED = U64(0x9E3779B97F4A7C15)
 
@@ -151,11 +153,17 @@ def _hash_words(text: str) -> np.ndarray:
     return span_hash(data, begins, ends)
 
 
+def _evenly(items: list, most: int) -> list:
+    """About `most` of the items, at even steps from first to last."""
+    return items[:: max(1, -(-len(items) // most))]
+
+
 def train(corpus: list[str], seed: int = 0) -> LicenceModel:
     """Fit the classifier on variants of the notices and on units of corpus texts."""
     rng = np.random.default_rng(seed)
     families = sorted(NOTICES)
-    ordinary = [w for t in corpus for line in t.split("\n") for w in line.split()[:50]][:20_000] or ["text"]
+    ordinary = [w for t in corpus for w in _evenly(t.split(), WORDS_OF_TEXT)] or ["text"]
+    notices = [grams(_hash_words(n))[1] for f in families for n in NOTICES[f]]
 
     def around() -> list[str]:
         return [ordinary[i] for i in rng.integers(0, len(ordinary), rng.integers(0, 12))]
@@ -171,9 +179,14 @@ def train(corpus: list[str], seed: int = 0) -> LicenceModel:
                 if v % 3 == 0:  # two words of a notice say nothing yet
                     rows.append((_hash_words(" ".join([*around(), *words[loose : loose + 2], *around()])), len(families)))
     for text in corpus:
-        for line in text.split("\n")[:20]:
-            if not any(x in line.lower() for x in ("licen", "copyright", "gnu", "released under")):
-                rows.append((_hash_words(" ".join(line.split()[:UNIT])), len(families)))
+        for line in _evenly(text.split("\n"), LINES_OF_TEXT):
+            words = line.split()
+            at = int(rng.integers(0, max(1, len(words) - UNIT + 1)))
+            unit = _hash_words(" ".join(words[at : at + UNIT]))
+            pairs = grams(unit)[1]
+            # Lines that speak of licences are just what the unknown class is for; only those that hold a notice are none.
+            if max(float(np.isin(n, pairs).mean()) for n in notices) < CONFIRM / 2:
+                rows.append((unit, len(families)))
     order = rng.permutation(len(rows))
     rows = [rows[i] for i in order]
     y = np.array([r[1] for r in rows])
@@ -198,12 +211,12 @@ def train(corpus: list[str], seed: int = 0) -> LicenceModel:
     return LicenceModel(families, wanted, w, b, temperature, [[grams(_hash_words(n))[1] for n in NOTICES[f]] for f in families])
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LicenceModel:
-    """Train against a sample of about sample_docs documents, the same at every run."""
-    texts = docs.select("doc_id", "text").filter("text is not null")
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, text_bytes: int = SAMPLE_TEXT_BYTES) -> LicenceModel:
+    """Train against a sample of about sample_docs documents of at most text_bytes each, the same at every run."""
+    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= text_bytes)
     share = min(1.0, sample_docs / max(1, texts.count()))
-    rows = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 20)) < share * (1 << 20)).limit(4 * sample_docs).collect()
-    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
+    rows = texts.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(1 << 20)) < share * (1 << 20)).limit(4 * sample_docs).collect()
+    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text))])
 
 
 def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", keep_text: bool = False) -> DataFrame:
