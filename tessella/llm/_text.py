@@ -46,6 +46,20 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int,
             start = end
 
 
+def balanced_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Record batches joined and cut so that the texts of each but the last hold about max_bytes; one longer text stays alone."""
+    held, size = [], 0
+    for batch in text_batches(batches, column, max_bytes):
+        own = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held and size + own > max_bytes:
+            yield held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column with 16 zero bytes behind them, and its offsets (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
