@@ -317,8 +317,8 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
     """anchor, seg, lo, hi, o, h, u of blocks of `core` windows of each piece, or of those in its `only` list.
 
     o is the block's distance from the anchor in blocks, h the hash of the bytes that every window of the
-    full block holds, so equal windows have equal o and h; u the hash of all its bytes, null for a part of a
-    block at a segment's end. With core = 1 a block is one window.
+    full block holds, so equal windows have equal o and h; u the hash of all its bytes and of which windows it has (a segment's
+    end cuts blocks short). With core = 1 a block is one window.
     """
     own = [x for x in ("anchor", "seg", "n", "back", "bytes", "only") if x in pieces.columns]
 
@@ -347,10 +347,9 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
             row, o, lo, hi = row[first], o[first], w[first], w[last]
             start = offsets[row] + back[row] - core * o
             h = sums.span(start, start - (core - 1) + length)
-            full = hi - lo == core - 1
-            u = sums.span(offsets[row] + lo, offsets[row] + hi + length)
+            u = sums.span(offsets[row] + lo, offsets[row] + hi + length) ^ mix((start - offsets[row] - lo).astype(U64))
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(take), batch.column("seg").take(take), pa.array(lo), pa.array(hi), pa.array(o), pa.array(h.view(np.int64)), pa.array(u.view(np.int64), mask=~full)], names=["anchor", "seg", "lo", "hi", "o", "h", "u"])
+            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(take), batch.column("seg").take(take), pa.array(lo), pa.array(hi), pa.array(o), pa.array(h.view(np.int64)), pa.array(u.view(np.int64))], names=["anchor", "seg", "lo", "hi", "o", "h", "u"])
 
     return map_batches(pieces.select(*own), run, "anchor long, seg long, lo long, hi long, o long, h long, u long")
 
@@ -358,17 +357,17 @@ def _window_hashes(pieces: DataFrame, length: int, core: int) -> DataFrame:
 def _split_repeats(pieces: DataFrame, length: int) -> DataFrame:
     """anchor, seg, lo, hi of segments of crowded anchors, by counts of hashes that are combined before each shuffle.
 
-    Blocks whose windows share bytes with another segment's block go on to smaller blocks, unless
-    all bytes of the block are the same wherever those shared bytes stand: then all its windows repeat.
+    Blocks of the same bytes are one kind; all windows of a kind that stands twice repeat. Where blocks of several kinds share
+    bytes, one block of each kind goes on to smaller blocks: what it shares with the others, all of its kind do.
     """
     key = ["anchor", "o", "h"]
     rows, done = pieces, []
     for core in (c for c in CORES if c + 7 <= length):  # the shared bytes are at least eight
         hashes = cut_lineage(_window_hashes(rows, length, core))
-        counts = hashes.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), ((F.count("u") == F.count(F.lit(1))) & (F.min("u") == F.max("u"))).alias("whole")).filter("c > 1")
-        shared = cut_lineage(hashes.join(counts, key).select("anchor", "seg", "lo", "hi", F.coalesce("whole", F.lit(False)).alias("whole")))
-        done.append(shared.filter("whole").drop("whole"))
-        rest = shared.filter("not whole")
+        kinds = cut_lineage(hashes.groupBy(*key, "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("seg", "lo", "hi")).alias("r")))
+        done.append(cut_lineage(hashes.join(kinds.filter("c > 1").select(*key, "u"), [*key, "u"]).select("anchor", "seg", "lo", "hi")))
+        several = kinds.groupBy(*key).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").drop("kinds")
+        rest = cut_lineage(kinds.join(several, key).select("anchor", "r.seg", "r.lo", "r.hi"))
         if rest.isEmpty():
             break
         only = rest.groupBy("anchor", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("only"))  # at most a few
