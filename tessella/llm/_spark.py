@@ -56,19 +56,19 @@ def map_batches(df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(run, schema(ddl))
 
 
-def with_nodes(docs: DataFrame, text_col: str = "text", name: str = "node") -> tuple[DataFrame, bool]:
+def with_nodes(docs: DataFrame, text_col: str = "text", name: str = "node", id_col: str = "doc_id") -> tuple[DataFrame, bool]:
     """docs with a number that tells its rows apart: doc_id, or a hash of doc_id and text where the doc_id is null or repeated.
 
     Rows equal in doc_id and text share their number. The second result says whether any doc_id is null or repeated;
     only then do such rows exist. The repeated ids are broadcast if counted to be few.
     """
-    ids = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("c"))
-    odd = cut_lineage(ids.filter("c > 1 or doc_id is null").select(F.col("doc_id").alias(name)))
+    plain = F.col(id_col).cast("long")
+    ids = docs.groupBy(plain.alias(name)).agg(F.count(F.lit(1)).alias("c"))
+    odd = cut_lineage(ids.filter((F.col("c") > 1) | F.col(name).isNull()).select(name))
     n = odd.limit(FEW + 1).count()
-    plain = F.col("doc_id").cast("long")
     if not n:
         return docs.withColumn(name, plain), False
-    hashed = F.xxhash64("doc_id", text_col)
+    hashed = F.xxhash64(id_col, text_col)
     single = docs.join(F.broadcast(odd) if n <= FEW else odd, plain == F.col(name), "left")
     return single.withColumn(name, F.when(F.col(name).isNull() & plain.isNotNull(), plain).otherwise(hashed)), True
 

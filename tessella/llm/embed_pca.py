@@ -18,7 +18,9 @@ do not give all pairs.
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing (n_links 0, own component); vectors of different
 dimensions never link; equal vectors are linked with each other; labels and other
-columns are ignored; vec_id is expected to be unique.
+columns are ignored; rows are told apart by vec_id, and by vec_id and vector where the vec_id is null or repeated: such
+rows are vectors like any others, component_id is the least vec_id of the linked rows (null if none has one, and then all
+of them are kept).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._spark import cut_lineage, map_batches
+from ._spark import cut_lineage, map_batches, with_nodes
 
 BLOCK = 8192
 #: Bytes of whole vectors that a block may hold, whatever their dimension.
@@ -65,15 +67,15 @@ def _unit(column: pa.Array) -> list[np.ndarray | None]:
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """vec_id, key (digest of the unit vector, null without), unit (bytes)."""
+    """vec_id, node, key (digest of the unit vector, null without), unit (bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = [None if u is None else (u + 0.0).tobytes() for u in _unit(batch.column("embedding"))]
             keys = [None if u is None else hashlib.blake2b(u, digest_size=16).digest() for u in units]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "key", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("node"), pa.array(keys, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "node", "key", "unit"])
 
-    return map_batches(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"), run, "vec_id long, key binary, unit binary")
+    return map_batches(vectors, run, "vec_id long, node long, key binary, unit binary")
 
 
 def _basis(classes: DataFrame, dims: int) -> np.ndarray:
@@ -211,10 +213,11 @@ class _Forest:
 
 def link_vectors(vectors: DataFrame, threshold: float = 0.95, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of vectors (vec_id, embedding)."""
-    classes = cut_lineage(_classes(vectors))
-    first = classes.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    member = cut_lineage(classes.join(first, "key", "left").select("vec_id", "key", F.coalesce("rep", "vec_id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies"), F.when(F.col("vec_id") == F.col("rep"), F.col("unit")).alias("unit")))
-    reps = member.filter("unit is not null").select("rep", "copies", "unit", F.octet_length("unit").alias("size"))
+    nodes, odd = with_nodes(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"), "embedding", id_col="vec_id")
+    classes = cut_lineage(_classes(nodes.select("vec_id", "node", "embedding")))
+    first = classes.filter("key is not null").groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    member = cut_lineage(classes.join(first, "key", "left").select("vec_id", "node", F.coalesce("rep", "node").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies"), F.when(F.col("node") == F.col("rep"), F.col("unit")).alias("unit")))
+    reps = member.filter("unit is not null").select("rep", "copies", "unit", F.octet_length("unit").alias("size")).dropDuplicates(["rep"])
     counts, links = None, None
     for size in sorted(r["size"] for r in reps.select("size").distinct().collect()):
         c, e = _compare_all(reps.filter(F.col("size") == size), size // 8, threshold, block)
@@ -223,9 +226,13 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, block: int = BLOCK
         return member.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     others = counts.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = components(links).withColumnRenamed("node", "rep")
-    out = member.drop("unit").join(others, "rep", "left").join(parts, "rep", "left")
-    own = F.coalesce("component", "rep")
-    return out.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), own.alias("component_id"), (own == F.col("vec_id")).alias("kept"))
+    out = member.drop("unit").join(others, "rep", "left").join(parts, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if odd:
+        out = out.join(out.groupBy("component").agg(F.min("vec_id").alias("component_id")), "component")
+    else:
+        out = out.withColumn("component_id", F.col("component"))
+    own = F.col("component_id")
+    return out.select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id", F.coalesce(own == F.col("vec_id"), own.isNull()).alias("kept"))
 
 
 def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:

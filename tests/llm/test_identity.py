@@ -66,6 +66,13 @@ def test_near_duplicates_tell_rows_apart_by_text(spark):
     assert found == sorted(want, key=repr)
 
 
+def test_vectors_tell_rows_apart(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.01, 1.0]), (None, [1.0, 0.01]), (None, [-1.0, 0.0]), (3, [5.0, 5.0]), (3, [5.0, 5.0]), (None, None)]
+    got = embed_pca.link_vectors(table(spark, rows, "vec_id long, embedding array<float>"), 0.95).collect()
+    want = [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 1, 1, False), (None, 0, None, True), (3, 1, 3, True), (3, 1, 3, True), (None, 0, None, True)]
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
+
+
 def test_decontamination_in_passes_tells_rows_apart(spark):
     items = [(f"i{k}", prose(20 + k, 14)) for k in range(6)]
     rows = [(1, items[0][1]), (1, "nothing here"), (None, items[1][1] + " " + items[4][1]), (None, None), (2, items[0][1]), (2, items[0][1])]
