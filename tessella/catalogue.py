@@ -582,7 +582,7 @@ def q_slide_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH s AS (SELECT o_custkey AS deck, o_orderkey AS idx, o_orderstatus = 'P' AS hidden, CASE WHEN o_orderstatus <> 'P' THEN sum(CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) END AS n FROM orders)
 SELECT deck, CAST(n AS BIGINT) AS n, idx, hidden, CASE WHEN n <= 5 THEN concat('img', CAST(deck AS VARCHAR), '-', CAST(CAST(n AS INT) AS VARCHAR)) END AS image FROM s""")
 def q_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slides = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select(F.col("o_custkey").alias("deck"), F.col("o_orderkey").alias("idx"), (F.col("o_orderstatus") == "P").alias("hidden"))
+    slides = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select(F.col("o_custkey").alias("deck"), F.col("o_orderkey").alias("idx"), documents.hidden(F.when(F.col("o_orderstatus") == "P", "0").when(F.col("o_orderstatus") == "O", "1")).alias("hidden"))
     images = slides.select("deck").distinct().select("deck", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("n")).withColumn("n", F.col("n").cast("long")).withColumn("image", F.concat(F.lit("img"), F.col("deck").cast("string"), F.lit("-"), F.col("n").cast("string")))
     return documents.interleave(slides, images)
 

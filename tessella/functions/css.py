@@ -6,11 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Three channels of a colour function, by comma or space, as numbers or percentages.
+_CHANNELS = r"rgba?\(\s*([\d.]+)(%?)[,\s]\s*([\d.]+)(%?)[,\s]\s*([\d.]+)(%?)"
+#: Its alpha, behind a comma or slash.
+_ALPHA = _CHANNELS + r"\s*[,/]\s*([\d.]+)(%?)\s*\)"
+#: What a see-through or unreadable colour, a shadow without colour and one without opacity become; points of a pixel.
+NO_COLOUR, SHADOW_COLOUR, SHADOW_OPACITY, POINTS = "FFFFFF", "000000", 0.5, 0.75
+
+
 def rgb_to_hex(css: Column) -> Column:
-    """Six hex digits of rgb() and rgba(); see-through and unreadable colours are white."""
-    digit = lambda k: F.lower(F.lpad(F.hex(F.regexp_extract(css, r"rgba?\((\d+),\s*(\d+),\s*(\d+)", k).try_cast("int")), 2, "0"))
-    clear = css.isin("rgba(0, 0, 0, 0)", "transparent") | ~css.rlike(r"rgba?\((\d+),\s*(\d+),\s*(\d+)") | css.isNull()
-    return F.when(clear, F.lit("FFFFFF")).otherwise(F.concat(digit(1), digit(2), digit(3)))
+    """Six hex digits of rgb() and rgba(); see-through black and unreadable colours are white."""
+    def digit(k: int) -> Column:
+        value, share = F.regexp_extract(css, _CHANNELS, k).try_cast("double"), F.regexp_extract(css, _CHANNELS, k + 1) == "%"
+        whole = F.least(F.lit(255), F.floor(F.when(share, value * 2.55 + 0.5).otherwise(value))).cast("int")
+        return F.lower(F.lpad(F.hex(whole), 2, "0"))
+
+    clear = css.isNull() | (css == "transparent") | css.rlike(r"^rgba\(\s*0,\s*0,\s*0,\s*0\s*\)$") | ~css.rlike(_CHANNELS)
+    return F.when(clear, F.lit(NO_COLOUR)).otherwise(F.concat(digit(1), digit(3), digit(5)))
 
 
 def hex_to_rgb(text: Column) -> Column:
@@ -20,8 +32,9 @@ def hex_to_rgb(text: Column) -> Column:
 
 def transparency(css: Column) -> Column:
     """Percent of transparency of rgba(), null for opaque notations."""
-    a = F.regexp_extract(css, r"rgba\(\d+,\s*\d+,\s*\d+,\s*([\d.]+)\)", 1).try_cast("double")
-    return F.floor((1 - a) * 100 + 0.5).cast("int")
+    given = F.regexp_extract(css, _ALPHA, 7).try_cast("double")
+    alpha = F.when(F.regexp_extract(css, _ALPHA, 8) == "%", given / 100).otherwise(given)
+    return F.floor((1 - alpha) * 100 + 0.5).cast("int")
 
 
 def text_transform(text: Column, rule: Column) -> Column:
@@ -49,10 +62,10 @@ def shadow(css: Column) -> Column:
         ~none,
         F.struct(
             F.floor(angle + 0.5).cast("int").alias("angle"),
-            (F.coalesce(at(2), F.lit(0.0)) * 0.75).alias("blur"),
-            F.when(colour != "", rgb_to_hex(colour)).otherwise(F.lit("000000")).alias("colour"),
-            (F.sqrt(at(0) * at(0) + at(1) * at(1)) * 0.75).alias("offset"),
-            F.coalesce(F.regexp_extract(colour, r"([\d.]+)\)$", 1).try_cast("double"), F.lit(0.5)).alias("opacity"),
+            (F.coalesce(at(2), F.lit(0.0)) * POINTS).alias("blur"),
+            F.when(colour != "", rgb_to_hex(colour)).otherwise(F.lit(SHADOW_COLOUR)).alias("colour"),
+            (F.sqrt(at(0) * at(0) + at(1) * at(1)) * POINTS).alias("offset"),
+            F.coalesce(F.regexp_extract(colour, r"([\d.]+)\)$", 1).try_cast("double"), F.lit(SHADOW_OPACITY)).alias("opacity"),
         ),
     )
 

@@ -29,6 +29,12 @@ RELATIONSHIP_TYPES = {
     "tablestyleid": "tablestyles",
 }
 
+#: Fixed value: the shape of an identifier of five parts, with the letters that may stand in it.
+UUID_SHAPE = r"^\{{?[0-9{0}]{{8}}-?[0-9{0}]{{4}}-?[0-9{0}]{{4}}-?[0-9{0}]{{4}}-?[0-9{0}]{{12}}\}}?$"
+
+#: Parts of metric names that tell whether more or less is better; others are better when higher.
+RISING, FALLING = ("rate", "coverage"), ("unresolved", "orphan", "warning", "unvalidated")
+
 #: Allowed front-matter keys.
 FRONT_MATTER_KEYS = ["name", "description", "license", "allowed-tools", "metadata"]
 
@@ -133,11 +139,11 @@ def title_case(name: Column) -> Column:
 
 
 def uuid_shaped(text: Column) -> Column:
-    return text.rlike(r"^\{?[0-9A-Za-z]{8}-?[0-9A-Za-z]{4}-?[0-9A-Za-z]{4}-?[0-9A-Za-z]{4}-?[0-9A-Za-z]{12}\}?$")
+    return text.rlike(UUID_SHAPE.format("A-Za-z"))
 
 
 def uuid_valid(text: Column) -> Column:
-    return text.rlike(r"^\{?[0-9A-Fa-f]{8}-?[0-9A-Fa-f]{4}-?[0-9A-Fa-f]{4}-?[0-9A-Fa-f]{4}-?[0-9A-Fa-f]{12}\}?$")
+    return text.rlike(UUID_SHAPE.format("A-Fa-f"))
 
 
 def front_matter(text: Column) -> Column:
@@ -177,6 +183,5 @@ def greedy_wrap(text: Column, width: int, char_width: float = 1.0) -> Column:
 
 def metric_gain(metric: Column, before: Column, after: Column) -> Column:
     """after - before, turned round for metrics that are better when lower."""
-    rising = metric.contains("rate") | metric.contains("coverage")
-    falling = metric.contains("unresolved") | metric.contains("orphan") | metric.contains("warning") | metric.contains("unvalidated")
-    return F.when(rising, after - before).when(falling, before - after).otherwise(after - before)
+    named = lambda parts: metric.rlike("|".join(parts))
+    return F.when(named(FALLING) & ~named(RISING), before - after).otherwise(after - before)

@@ -96,6 +96,11 @@ def gather(slides: DataFrame, order: DataFrame) -> DataFrame:
     return order.join(slides.withColumn("found", F.lit(True)), "idx", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
+def hidden(show: Column) -> Column:
+    """Whether a slide's `show` attribute hides it; one that is missing does not."""
+    return F.coalesce(show == "0", F.lit(False))
+
+
 def interleave(slides: DataFrame, images: DataFrame) -> DataFrame:
     """slides (idx, hidden) with the image (n) of each shown slide, by running count; hidden ones get none."""
     shown = F.sum(F.when(~F.col("hidden"), 1).otherwise(0)).over(Window.partitionBy("deck").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))

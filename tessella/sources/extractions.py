@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,10 +84,32 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_front_matter(spark: SparkSession, path: str) -> DataFrame:
-    """(path, block, keys, name, description) of Markdown files; top-level keys of the block, plain values only."""
+    """(path, block, keys, name, description) of Markdown files with the top-level keys of the block at their head.
+
+    The block is parsed as YAML; where no YAML parser is installed, lines of plain values are read. keys is null for a
+    block that is no mapping.
+    """
     from ..functions.text import front_matter
 
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), front_matter(F.col("value")).alias("block"))
+    if importlib.util.find_spec("yaml"):
+        @F.pandas_udf("keys array<string>, name string, description string")
+        def parse(blocks: pd.Series) -> pd.DataFrame:
+            import yaml
+
+            def one(block):
+                try:
+                    own = yaml.safe_load(block) if block else None
+                except yaml.YAMLError:
+                    own = None
+                if not isinstance(own, dict):
+                    return None, None, None
+                text = lambda v: None if v is None else str(v).strip()
+                return [str(k) for k in own], text(own.get("name")), text(own.get("description"))
+
+            return pd.DataFrame([one(b) for b in blocks], columns=["keys", "name", "description"])
+
+        return texts.withColumn("p", parse("block")).select("path", "block", "p.*")
     lines = F.filter(F.split("block", "\n"), lambda x: x.rlike(r"^[A-Za-z_-]+:"))
     value = lambda key: F.nullif(strip(F.regexp_extract("block", rf"(?m)^{key}:(.*)$", 1)), F.lit(""))
     return texts.select("path", "block", F.transform(lines, lambda x: F.substring_index(x, ":", 1)).alias("keys"), value("name").alias("name"), value("description").alias("description"))
@@ -103,6 +127,27 @@ def unique_key_json(text: str) -> dict:
     return json.loads(text, object_pairs_hook=check)
 
 
+def read_replacements(spark: SparkSession, path: str) -> DataFrame:
+    """(path, slide, shape_id, text) of replacement files {slide: {shape: {"paragraphs": [...]} or null}}; a repeated key fails the job.
+
+    Paragraphs are texts or objects with a text; text is null where a shape is to be cleared.
+    """
+    def entries(text: str) -> list:
+        out = []
+        for slide, shapes in unique_key_json(text).items():
+            for shape, value in (shapes or {}).items() if slide.startswith("slide-") else ():
+                own = (value or {}).get("paragraphs")
+                out.append({"slide": int(slide[6:]), "shape_id": shape, "text": None if own is None else "\n".join(p if isinstance(p, str) else p.get("text", "") for p in own)})
+        return out
+
+    @F.pandas_udf("array<struct<slide:int,shape_id:string,text:string>>")
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(entries)
+
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), parse("value").alias("r"))
+    return files.select("path", F.explode("r").alias("r")).select("path", "r.*")
+
+
 def write_nested(df: DataFrame, keys: list[str], path: str, by: str | None = None) -> None:
     """A JSON sink: the other columns of each key group, in order of ord, as one array."""
     rest = [c for c in df.columns if c not in keys]

@@ -26,25 +26,43 @@ def merged(spark, tmp_path, *files, tiles=None, **options):
     return M.merge(S.read_extractions(spark, [*paths, str(tmp_path / "none.json")]), table, **options)
 
 
-def equipment(*nodes):
-    return {"nodes": {"equipment": list(nodes)}}
-
-
 def ids(rows):
     return sorted(r.id for r in rows.collect())
 
 
-@pytest.mark.parametrize(("nodes", "threshold", "kept"), [
-    ([node("E1", "P-1"), node("E2", "P-2")], 0.5, ["E1", "E2"]),  # different tags never merge
-    ([node("E1", "P-1", confidence=0.5), node("E2", "P-1")], 0.5, ["E2"]),  # one tag: the surest stays
-    ([node("E1", "P-1"), node("E2", "P-1", (500, 500, 600, 600), confidence=0.5)], 0.5, ["E1", "E2_dup"]),  # far apart
-    ([node("E1"), node("E2", None, (0, 0, 100, 64))], 0.95, ["E1"]),
-    ([node(f"E{k}") for k in range(6)], 0.95, ["E0"]),  # equal boxes of equal confidence: the first stays
-    ([node(confidence=0.4), node(confidence=0.8)], 0.95, ["EQ-001"]),
-    ([node("E1", "T", None), node("E2", "T", None)], 0.5, ["E1"]),  # without boxes the rest of a group goes
-])
-def test_which_nodes_stay(spark, tmp_path, nodes, threshold, kept):
-    assert ids(merged(spark, tmp_path, ("a.json", equipment(*nodes)), threshold=threshold)["nodes"]) == kept
+def equipment(*nodes):
+    return {"nodes": {"equipment": list(nodes)}}
+
+
+CASES = {
+    0.5: [
+        ([node("E1", "P-1"), node("E2", "P-2")], ["E1", "E2"]),  # different tags never merge
+        ([node("E1", "P-1", confidence=0.5), node("E2", "P-1")], ["E2"]),  # one tag: the surest stays
+        ([node("E1", "P-1"), node("E2", "P-1", (500, 500, 600, 600), confidence=0.5)], ["E1", "E2_dup"]),  # far apart
+        ([node("E1", "T", None), node("E2", "T", None)], ["E1"]),  # without boxes the rest of a group goes
+    ],
+    0.95: [
+        ([node("E1"), node("E2", None, (0, 0, 100, 64))], ["E1"]),
+        ([node("E1", "A"), node("E2", "A", (0, 0, 100, 64)), node("E3", None, (0, 80, 100, 180))], ["E1", "E3"]),
+        ([node(f"E{k}") for k in range(6)], ["E0"]),  # equal boxes of equal confidence: the first stays
+        ([node(confidence=0.4), node(confidence=0.8)], ["EQ-001"]),
+    ],
+}
+
+
+@pytest.mark.parametrize("threshold", list(CASES))
+def test_which_nodes_stay(spark, tmp_path, threshold):
+    """Each case is a drawing of one run."""
+    drawings = None
+    for k, (nodes, _) in enumerate(CASES[threshold]):
+        (tmp_path / f"{k}.json").write_text(json.dumps(equipment(*nodes)))
+        one = S.read_extractions(spark, [str(tmp_path / f"{k}.json")], str(k))
+        drawings = one if drawings is None else drawings.unionByName(one)
+    tiles = spark.createDataFrame([], "drawing string, file string, x1 int, y1 int, x2 int, y2 int")
+    got = {}
+    for r in M.merge(drawings, tiles, threshold=threshold)["nodes"].collect():
+        got.setdefault(int(r.drawing), []).append(r.id)
+    assert {k: sorted(v) for k, v in got.items()} == {k: kept for k, (_, kept) in enumerate(CASES[threshold])}
 
 
 def test_audit_names_both_sides(spark, tmp_path):
@@ -132,3 +150,18 @@ def test_folders_and_images(spark, tmp_path):
     (tmp_path / "img" / "p.png").write_bytes(bytes.fromhex("89504E470D0A1A0A0000000D49484452") + (640).to_bytes(4, "big") + (480).to_bytes(4, "big"))
     (tmp_path / "img" / "q.jpg").write_bytes(b"\xff\xd8")
     assert sorted((r.width, r.height) for r in P.read_images(spark, str(tmp_path / "img")).collect() if r.width) == [(640, 480)]
+
+
+def test_replacement_files(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"note": 1, "slide-0": {"shape-1": {"paragraphs": ["a", {"text": "b"}]}, "shape-2": null}}')
+    assert sorted((r.slide, r.shape_id, r.text) for r in S.read_replacements(spark, str(tmp_path / "r.json")).collect()) == [(0, "shape-1", "a\nb"), (0, "shape-2", None)]
+    (tmp_path / "twice.json").write_text('{"slide-0": {"shape-1": null, "shape-1": null}}')
+    with pytest.raises(Exception, match="repeated keys"):
+        S.read_replacements(spark, str(tmp_path / "twice.json")).collect()
+
+
+def test_front_matter_is_yaml(spark, tmp_path):
+    (tmp_path / "a.md").write_text("---\nname: tool\ndescription: >\n  folded\n  text\nmetadata:\n  x: 1\n---\nbody")
+    (tmp_path / "b.md").write_text("---\n- a list\n---\n")
+    got = {r.path[-4:]: (r["keys"], r["name"], r["description"]) for r in S.read_front_matter(spark, str(tmp_path)).collect()}
+    assert got == {"a.md": (["name", "description", "metadata"], "tool", "folded text"), "b.md": (None, None, None)}
