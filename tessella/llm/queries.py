@@ -102,6 +102,16 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(named.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op8_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+     w AS (SELECT doc_id, i, md5(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d WHERE octet_length(b) >= 400)),
+     r AS (SELECT doc_id, i FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+     n AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM r),
+     g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM n),
+     s AS (SELECT doc_id, k, min(i) AS lo, max(i) + 399 AS hi FROM g GROUP BY 1, 2),
+     p AS (SELECT doc_id, k, hi - lo + 1 AS gone, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY k) AS a, lo AS z FROM s UNION ALL SELECT doc_id, max(k) + 1, 0, max(hi), 1000000000 FROM s GROUP BY 1),
+     c AS (SELECT p.doc_id, sum(gone) AS gone, count(*) - 1 AS spans, list_reduce(list(b[a + 1:z - 1] ORDER BY k), lambda x, y: x || y) AS kept FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(coalesce(kept, b)) AS kept_sha256 FROM d LEFT JOIN c USING (doc_id)""",
     "op10_minhash": f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
      s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 4), ' ') AS g
