@@ -274,16 +274,17 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, rounds: int =
     valued = map_batches(words.select("word", "h", "c"), marginals, "h long, c long, lp double")
 
     def codes(block, batch, data, begins, ends, first):
-        """The documents of a block as places in its list of words; the list (its hashes) stands with the first of them."""
+        """The documents of a block as places in its list of words, packed; the list (its hashes) stands with the first of them."""
         h, _, which = _distinct(data, begins, ends)
-        which = which.astype("<i4").ravel()
+        which, codec = which.astype("<i4").ravel(), pa.Codec("zstd", compression_level=1)
         for k in range(0, batch.num_rows, 2000):
             part = batch.slice(k, 2000)
-            ids = [which[a:b].tobytes() for a, b in zip(first[k : k + part.num_rows], first[k + 1 : k + 1 + part.num_rows], strict=True)]
+            at = first[k : k + part.num_rows + 1]
+            ids = [codec.compress(which[a:b], asbytes=True) for a, b in zip(at[:-1], at[1:], strict=True)]
             own = [h.tobytes() if not k + i else None for i in range(part.num_rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("held_out"), pa.array(ids, pa.binary()), pa.array(own, pa.binary())], names=["block", "doc_id", "held_out", "ids", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(at).astype(np.int64)), pa.array(ids, pa.binary()), pa.array(own, pa.binary())], names=["block", "doc_id", "held_out", "n", "ids", "words"])
 
-    coded = cut_lineage(_blocks(docs, codes, f"block long, doc_id {kind}, held_out boolean, ids binary, words binary"))
+    coded = cut_lineage(_blocks(docs, codes, f"block long, doc_id {kind}, held_out boolean, n long, ids binary, words binary"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,12 +301,12 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, rounds: int =
         base = np.log10((c + 0.1) / (m.total + 0.1 * (m.distinct + 1)))
         end = math.log10((m.ends + 0.1) / (m.total + 0.1 * (m.distinct + 1)))
         model_end = math.log10(m.ends / m.total) if m.ends else 0.0
-        ids = [np.frombuffer(x, "<i4") for x in left["ids"]]
-        score = [float(lp[x].sum()) + model_end for x in ids]
-        out = pd.DataFrame({
-            "doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": [len(x) + 1 for x in ids], "n_known": [int((c[x] > 0).sum()) + (m.ends > 0) for x in ids],
-            "train_tokens": m.total, "base_score": [float(base[x].sum()) + end for x in ids], "score": score, "score_per_token": [s / (len(x) + 1) for s, x in zip(score, ids, strict=True)],
-        })
+        codec, sums = pa.Codec("zstd"), []
+        for n, packed in zip(left["n"], left["ids"], strict=True):  # one document at a time is unpacked
+            x = np.frombuffer(codec.decompress(packed, decompressed_size=4 * int(n)), "<i4") if n else np.zeros(0, np.int32)
+            sums.append((len(x) + 1, int((c[x] > 0).sum()) + (m.ends > 0), float(base[x].sum()) + end, float(lp[x].sum()) + model_end))
+        out = pd.DataFrame(sums, columns=["n_tokens", "n_known", "base_score", "score"])
+        out = out.assign(doc_id=left["doc_id"].to_numpy(), held_out=left["held_out"].to_numpy(), train_tokens=m.total, score_per_token=out["score"] / out["n_tokens"])
         release()
         return out
 
