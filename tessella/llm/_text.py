@@ -137,9 +137,10 @@ def shingle_hash(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.n
         which = np.repeat(np.arange(len(n_words))[long], counts[long])
         rank = np.arange(len(which)) - np.repeat(np.concatenate([[0], np.cumsum(counts[long])])[:-1], counts[long])
         out[offsets[which] + rank] = h[first[which] + rank]
-    for d in np.flatnonzero((n_words > 0) & (n_words < width)):
-        h = U64(0xABCD) * _SEED + U64(n_words[d])
-        for w in words[first[d] : first[d + 1]]:
-            h = mix(np.array([h * _SEED + w]))[0]
-        out[offsets[d]] = h
+    for n in range(1, width):
+        few = np.flatnonzero(n_words == n)
+        h = np.full(len(few), 0xABCD, dtype=U64) * _SEED + U64(n)
+        for k in range(n):
+            h = mix(h * _SEED + words[first[few] + k])
+        out[offsets[few]] = h
     return out, offsets

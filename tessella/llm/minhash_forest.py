@@ -4,7 +4,8 @@ A document is the set of its five-word shingles. Documents of equal sets form a
 class, and one document stands for each class. A signature of minima, one for
 each of `trees * length` hash functions, gives every class `trees` sorted orders:
 the signature's parts. Neighbours in an order are those of the longest common
-prefix: classes that share the first `depth` minima are one region. In a region
+prefix: classes that share the first `depth` minima are one region, a run of the order. A run is brought together by its
+prefix, as a key of the shuffle, so no order need be laid out from end to end and none is cut at a task's border. In a region
 of at most `small` classes all pairs are candidates. A larger region is cut
 deeper, by 4, 6 and then all 8 minima, until its parts are small; beside that
 every class of a large region is compared with the region's centre, the class
