@@ -300,7 +300,7 @@ def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tu
     pairs = cut_lineage(map_batches(spark.range(len(names)), meet, "x string, y string"))
     sides = pairs.select("x", "y", F.col("x").alias("block"), F.lit(0).alias("side")).unionAll(pairs.filter("x <> y").select("x", "y", F.col("y").alias("block"), F.lit(1).alias("side")))
 
-    def judge(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def judge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         same = key[0] == key[1]
         own = [rows[rows["side"] == s] for s in (0, 0 if same else 1)]
         x, y = (np.frombuffer(b"".join(o["code"]), np.float32).reshape(-1, width + len(CODE)) for o in own)
@@ -312,7 +312,7 @@ def _compare_all(reps: DataFrame, dims: int, threshold: float, block: int) -> tu
     chosen = dealt.join(sides, "block").groupBy("x", "y").applyInPandas(judge, "rep long, side int, x string, y string")
     met = cut_lineage(chosen).join(whole, "rep")
 
-    def join_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def join_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         same = key[0] == key[1]
         own = [rows[rows["side"] == s] for s in (0, 0 if same else 1)]
         if not all(map(len, own)):
