@@ -99,12 +99,18 @@ def tile_table(tiles: DataFrame, source: Column, overlap: float) -> DataFrame:
     return row.groupBy("page").agg(F.array_sort(F.collect_list(entry)).alias("tiles")).withColumns({"source_image": source, "overlap": F.lit(overlap)})
 
 
+_REPORT_HEAD = "# Evaluation report\n\n- Accuracy: %d/%d (%.1f%%)\n- Average task duration: %.2fs\n- Average tool calls: %.2f\n- Total tool calls: %d\n"
+_REPORT_TASK = "## Task %d\n\n**Question**: %s\n**Expected**: `%s`\n**Actual**: `%s`\n**Correct**: %s\n**Duration**: %.2fs\n**Tool calls**: %s\n\n%s\n\n%s\n"
+
+
 def markdown_report(summary: DataFrame, tasks: DataFrame) -> DataFrame:
     """(line, text): a report of a run as Markdown lines, the summary first, then task by task (place, question, expected, actual, duration, tool_calls, summary, feedback)."""
     text = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("N/A"))
-    head = summary.select(F.lit(0).cast("long").alias("line"), F.format_string("# Evaluation report\n\n- Accuracy: %d/%d (%.1f%%)\n- Average task duration: %.2fs\n- Average tool calls: %.2f\n- Total tool calls: %d\n", F.col("correct").cast("long"), F.col("tasks").cast("long"), F.col("accuracy"), F.col("mean_duration"), F.col("mean_calls"), F.col("total_calls")).alias("text"))
+    whole = lambda c: F.col(c).cast("long")
+    head = summary.select(F.lit(0).cast("long").alias("line"), F.format_string(_REPORT_HEAD, whole("correct"), whole("tasks"), "accuracy", "mean_duration", "mean_calls", whole("total_calls")).alias("text"))
     mark = F.when((F.length("actual") > 0) & (F.col("actual") == F.col("expected")), "yes").otherwise("no")
-    body = tasks.select(F.col("place").cast("long").alias("line"), F.format_string("## Task %d\n\n**Question**: %s\n**Expected**: `%s`\n**Actual**: `%s`\n**Correct**: %s\n**Duration**: %.2fs\n**Tool calls**: %s\n\n%s\n\n%s\n", F.col("place").cast("long"), "question", "expected", text("actual"), mark, F.col("duration").cast("double"), F.col("tool_calls").cast("string"), text("summary"), text("feedback")).alias("text"))
+    parts = [whole("place"), "question", "expected", text("actual"), mark, F.col("duration").cast("double"), F.col("tool_calls").cast("string"), text("summary"), text("feedback")]
+    body = tasks.select(whole("place").alias("line"), F.format_string(_REPORT_TASK, *parts).alias("text"))
     return head.unionByName(body)
 
 
@@ -115,7 +121,7 @@ def write_text(lines: DataFrame, path: str) -> None:
 
 def packages(parts: DataFrame) -> DataFrame:
     """(package, content): parts (package, name, xml) zipped, the content types first; a package is built in one task."""
-    def zip_up(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def zip_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             for name, xml in sorted(zip(rows["name"], rows["xml"], strict=True), key=lambda r: (r[0] != "[Content_Types].xml", r[0])):
