@@ -125,7 +125,14 @@ def run_report(results: DataFrame) -> DataFrame:
     """One row: tasks, accuracy in percent, mean duration, mean and total tool calls; 0 without results."""
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     score = X.exact_score(F.col("actual"), F.col("expected"))
-    return results.agg(F.count(F.lit(1)).alias("tasks"), zero(F.round(100.0 * F.avg(score), 3)).alias("accuracy"), zero(F.round(F.avg("duration"), 3)).alias("mean_duration"), zero(F.round(F.avg("tool_calls"), 3)).alias("mean_calls"), F.coalesce(F.sum("tool_calls"), F.lit(0)).cast("long").alias("total_calls"))
+    mean = lambda c: zero(F.round(F.avg(c), 3))
+    return results.agg(
+        F.count(F.lit(1)).alias("tasks"),
+        mean(100.0 * score).alias("accuracy"),
+        mean("duration").alias("mean_duration"),
+        mean("tool_calls").alias("mean_calls"),
+        F.coalesce(F.sum("tool_calls"), F.lit(0)).cast("long").alias("total_calls"),
+    )
 
 
 def fit_texts(shapes: DataFrame, replacements: DataFrame) -> tuple[DataFrame, DataFrame]:
