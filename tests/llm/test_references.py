@@ -100,15 +100,15 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
             if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) and sets[a]:
                 part[a] = part[b] = min(part[a], part[b])
     kept = {k: t for k, t in kept.items() if part[k] == k}
-    # Repeated strings of 400 bytes.
-    seen = {}
+    # Repeated passages.
+    seen, size = {}, corpus_pipeline.PASSAGE_BYTES
     for k, t in kept.items():
-        for i in range(len(t) - 399):
-            seen.setdefault(t[i : i + 400], []).append((k, i))
+        for i in range(len(t) - size + 1):
+            seen.setdefault(t[i : i + size], []).append((k, i))
     gone = {k: np.zeros(len(t), dtype=bool) for k, t in kept.items()}
     for places in seen.values():
         for k, i in places if len(places) > 1 else ():
-            gone[k][i : i + 400] = True
+            gone[k][i : i + size] = True
     assert any(g.any() for g in gone.values())
     kept = {k: "".join(c for c, g in zip(t, gone[k], strict=True) if not g) for k, t in kept.items()}
     # Ten words of a benchmark item.
