@@ -23,6 +23,10 @@ from tessella.llm.minhash_forest import extra_copies
 from tessella.llm.suffix_dedup import remove_repeats
 
 
+#: A repeated passage of over fifty words goes: 51 words of four letters and a space are 255 bytes.
+PASSAGE_BYTES = 256
+
+
 def _sheltered(docs: DataFrame, *own: str) -> DataFrame:
     """docs with other names for all columns but `own`, so that no result of an operator can clash with them."""
     return docs.select(*(F.col(f"`{c}`").alias(c if c in own else f"_passing_{k}") for k, c in enumerate(docs.columns)))
@@ -52,8 +56,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 400-byte strings that also start elsewhere; n_chars follows."""
-    cut = remove_repeats(_sheltered(docs, "doc_id", "text"), length=400, outputs="text")
+    """Texts without the bytes of strings of PASSAGE_BYTES that also start elsewhere; n_chars follows."""
+    cut = remove_repeats(_sheltered(docs, "doc_id", "text"), length=PASSAGE_BYTES, outputs="text")
     out = _restored(cut.withColumn("text", F.struct("text", "n_removed")), docs, "doc_id", "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text.n_removed") > 0, F.length("text.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
