@@ -11,6 +11,7 @@ from .functions import css as C
 from .functions import geometry as G
 from .functions import text as X
 from .operators import decks, documents, markup
+from .operators._shared import cut_lineage, dealt, large
 from .operators.graph import flatten_groups
 from .sources import packages, sinks
 
@@ -180,7 +181,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<w:ins w:author="), pick(k % 3 == 1, '"ann"', '"bob"'), F.lit("><w:r>"), pick(k % 7 == 0, "<w:delText>new</w:delText>", "<w:t>new</w:t>"), F.lit("</w:r></w:ins></w:p>"),
         pick(k % 6 == 0, '<x:extra x:a="1"><w:p/></x:extra>', "<!-- note -->"), pick(k % 8 == 0, '<w:p x:mark="1"/>'), F.lit("<w:note>{{tag}} is {{here}}</w:note><w:sp> </w:sp></w:body></w:document>"),
     )
-    return _read(spark, sf_dir, "customer", "c_custkey").select(k.alias("part"), F.when(k % 50 == 49, "<broken").otherwise(xml).alias("xml"))
+    return dealt(_read(spark, sf_dir, "customer", "c_custkey")).select(k.alias("part"), F.when(k % 50 == 49, "<broken").otherwise(xml).alias("xml"))
 
 
 _GOOD = "c AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 50 <> 49)"
@@ -250,7 +251,7 @@ def q_without_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_html_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     html = F.concat(F.lit("<html><body>loose<p>  one\n "), _text(k), F.lit(" <b>"), F.when(k % 2 == 0, "<i>two</i>").otherwise("tw"), F.lit("</b> three </p><p> </p><div><h2>Head "), _text(k), F.lit("</h2></div></body></html>"))
-    return markup.html_runs(_read(spark, sf_dir, "customer", "c_custkey").select(k.alias("k"), html.alias("html")), "k")
+    return markup.html_runs(dealt(_read(spark, sf_dir, "customer", "c_custkey")).select(k.alias("k"), html.alias("html")), "k")
 
 
 @query("SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) <> '' AS titled, regexp_matches(html, '<p(\\s[^>]*)?>(<[^>]*>|\\s)*[^<\\s]') AS has_text FROM pages")
@@ -354,17 +355,17 @@ def _slides(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = shape("", at("spPr", k % 11 + 10, k % 13 + 10), para("", F.lit(""), F.lit("inner")))
     body = shape("<p:ph type='body'/>", at("spPr", F.lit(0), F.lit(0)), para("<a:pPr lvl='1'><a:spcBef><a:spcPts val='600'/></a:spcBef><a:buChar char='o'/></a:pPr>", F.lit(""), F.lit("point")), para("<a:pPr><a:lnSpc><a:spcPct val='150000'/></a:lnSpc></a:pPr>", F.lit(""), F.lit("more")))
     xml = F.concat(F.lit(f"<p:sld {_NS}><p:cSld><p:spTree><p:nvGrpSpPr/>"), title, F.lit("<p:grpSp>"), at("grpSpPr", k % 17 * 100, k % 19 * 100), inner, F.lit("</p:grpSp>"), body, F.lit("</p:spTree></p:cSld></p:sld>"))
-    return _read(spark, sf_dir, "customer", "c_custkey").select(_text(F.floor(k / 10)).alias("package"), F.concat(F.lit("ppt/slides/slide"), _text(k + 1), F.lit(".xml")).alias("name"), F.when(k % 40 == 39, "<no").otherwise(xml).alias("xml"))
+    return dealt(_read(spark, sf_dir, "customer", "c_custkey")).select(_text(F.floor(k / 10)).alias("package"), F.concat(F.lit("ppt/slides/slide"), _text(k + 1), F.lit(".xml")).alias("name"), F.when(k % 40 == 39, "<no").otherwise(xml).alias("xml"))
 
 
 @query("""WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 40 <> 39) SELECT CAST(k AS INT) AS slide, 0 AS id, k % 100 * 914 AS x, k % 7 * 914 AS y, 'TITLE' AS placeholder, concat('Title ', CAST(k AS VARCHAR)) AS text FROM c
 UNION ALL SELECT k, 2, k % 11 + 10, k % 13 + 10, NULL, 'inner' FROM c UNION ALL SELECT k, 3, 0, 0, 'BODY', concat('point', chr(10), 'more') FROM c""")
 def q_slide_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = packages.slide_shapes(_slides(spark, sf_dir))
+    rows = cut_lineage(packages.slide_shapes(_slides(spark, sf_dir)).drop("paragraphs"))
     key = lambda c: F.struct("package", "slide", F.col(c).alias("id"))
     # The group's own offset is where its shapes' places are counted from.
     placed = flatten_groups(rows.select(key("id").alias("id"), F.when(F.col("parent").isNotNull(), key("parent")).alias("parent"), F.col("left_emu").alias("dx"), F.col("top_emu").alias("dy")))
-    there = decks.valid_shapes(rows).withColumn("key", key("id")).join(placed.select(F.col("id").alias("key"), "x", "y"), "key")
+    there = decks.valid_shapes(rows).withColumn("key", key("id")).join(large(placed.select(F.col("id").alias("key"), "x", "y")), "key")
     return there.select("slide", F.col("id").cast("int").alias("id"), "x", "y", "placeholder", "text")
 
 
