@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
-from ._shared import numbered
+from ._shared import large, numbered
 from .documents import row_bands, shape_overlaps
 
 #: Margins of a text frame in inches where none are set.
@@ -86,7 +86,7 @@ def slide_overflow(shapes: DataFrame) -> DataFrame:
 def number_shapes(shapes: DataFrame) -> DataFrame:
     """shapes (deck, slide, id, left, top) with shape_id: shape-0 and so on in reading order."""
     order = row_bands(shapes.select("deck", "slide", "id", "left", "top"), ["deck", "slide"]).select("deck", "slide", "id", F.concat(F.lit("shape-"), F.col("position").cast("string")).alias("shape_id"))
-    return shapes.join(order, ["deck", "slide", "id"])
+    return shapes.join(large(order), ["deck", "slide", "id"])
 
 
 def with_overlaps(shapes: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def with_overlaps(shapes: DataFrame) -> DataFrame:
     corner = F.struct(F.col("top").alias("y1"), F.col("left").alias("x1"), (F.col("top") + F.col("height")).alias("y2"), (F.col("left") + F.col("width")).alias("x2"))
     boxes = shapes.select(F.struct("deck", "slide").alias("slide"), F.col("shape_id").alias("id"), corner.alias("box"))
     pairs = shape_overlaps(boxes).groupBy("slide.deck", "slide.slide", F.col("id").alias("shape_id")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("other", "area")))).alias("overlaps"))
-    return shapes.join(pairs, ["deck", "slide", "shape_id"], "left")
+    return shapes.join(large(pairs), ["deck", "slide", "shape_id"], "left")
 
 
 def with_issues(shapes: DataFrame) -> DataFrame:
