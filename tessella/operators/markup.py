@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
+from ._shared import large, map_rows
 
 ELEMENTS = "pos long, name string, attrs map<string,string>, text string, path array<string>"
 XML_SPACE = "{http://www.w3.org/XML/1998/namespace}space"
@@ -25,7 +26,7 @@ XML_SPACE = "{http://www.w3.org/XML/1998/namespace}space"
 
 def xml_elements(parts: DataFrame, key: str = "part", xml: str = "xml") -> DataFrame:
     """The element table of parts (key, xml); a part that is no XML has no elements."""
-    def rows(text: str) -> Iterator[tuple]:
+    def rows(k, text: str) -> Iterator[tuple]:
         try:
             root = ElementTree.fromstring(text)
         except (ElementTree.ParseError, TypeError):
@@ -33,23 +34,18 @@ def xml_elements(parts: DataFrame, key: str = "part", xml: str = "xml") -> DataF
         stack, pos = [(root, [])], 0
         while stack:
             e, path = stack.pop()
-            yield pos, e.tag, dict(e.attrib), e.text, path
+            yield k, pos, e.tag, list(e.attrib.items()), e.text, path
             pos += 1
-            stack += [(c, [*path, e.tag]) for c in reversed(e) if isinstance(c.tag, str)]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for k, text in zip(frame[key], frame[xml], strict=True):
-                found = list(rows(text))
-                for a in range(0, len(found), 5000):
-                    yield pd.DataFrame([(k, *r) for r in found[a : a + 5000]], columns=[key, "pos", "name", "attrs", "text", "path"])
+            if len(e):
+                inner = [*path, e.tag]
+                stack += [(c, inner) for c in reversed(e) if isinstance(c.tag, str)]
 
     kind = parts.schema[key].dataType.simpleString()
-    return parts.select(key, xml).mapInPandas(run, f"{key} {kind}, {ELEMENTS}")
+    return map_rows(parts.select(key, xml), rows, f"{key} {kind}, {ELEMENTS}")
 
 
 def _is(name: Column, local: str) -> Column:
-    return F.element_at(F.split(name, r"\}"), -1) == local
+    return F.substring_index(name, "}", -1) == local
 
 
 def _inside(local: str) -> Column:
@@ -73,13 +69,13 @@ def misplaced_text(elements: DataFrame) -> DataFrame:
 def paragraph_change(before: DataFrame, after: DataFrame, key: str = "part") -> DataFrame:
     """(key, before, after, delta): paragraphs of the two element tables, part by part."""
     count = lambda df, name: df.groupBy(key).agg(F.count_if(_is(F.col("name"), "p")).alias(name))
-    both = count(before, "before").join(count(after, "after"), key, "full")
+    both = count(before, "before").join(large(count(after, "after")), key, "full")
     return both.fillna(0, ["before", "after"]).withColumn("delta", F.col("after") - F.col("before"))
 
 
 def known_namespaces_only(elements: DataFrame, namespaces: list[str]) -> DataFrame:
     """elements without those of other namespaces and all that is in them, and without other namespaces' attributes (plain names stay)."""
-    space = lambda n: F.regexp_extract(n, r"^\{([^}]*)\}", 1)
+    space = lambda n: F.when(n.startswith("{") & n.contains("}"), F.substring_index(F.substring(n, 2, 1 << 30), "}", 1)).otherwise("")
     known = lambda n: (space(n) == "") | space(n).isin(namespaces)
     pure = elements.filter(known(F.col("name")) & F.forall("path", known))
     return pure.withColumn("attrs", F.map_filter("attrs", lambda k, _: known(k)))
@@ -237,16 +233,8 @@ def html_runs(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
                 yield k, blocks, tag, n, run, "bold" in style, "italic" in style, "underline" in style
             blocks += bool(kept)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [key, "block", "tag", "run", "text", "bold", "italic", "underline"]
-        for frame in frames:
-            for k, text in zip(frame[key], frame[html], strict=True):
-                found = list(rows(k, text))
-                if found:
-                    yield pd.DataFrame(found, columns=names)
-
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, block int, tag string, run int, text string, bold boolean, italic boolean, underline boolean")
+    return map_rows(pages.select(key, html), rows, f"{key} {kind}, block int, tag string, run int, text string, bold boolean, italic boolean, underline boolean")
 
 
 def layout_faults(pages: DataFrame) -> DataFrame:
