@@ -55,6 +55,39 @@ def test_nearest_centroids_by_hand(spark):
             assert abs(max(c for c, of in zip(cosines, model.of, strict=True) if model.languages[of] == name) - max(cosines)) < 1e-5
 
 
+def test_language_learns_from_every_row(spark):
+    rng = random.Random(6)
+    # More rows of a language than any sample held, the last of them of another kind.
+    texts = [prose(rng, rng.randint(1, 60)) if k < 1400 else prose(rng, 30).translate(str.maketrans("etaoins", "zqxwkvy")) for k in range(1500)]
+    docs = spark.createDataFrame([(k, t, "aa") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = lang_id.fit(docs, centroids=1)
+    fold = {r.doc_id: r.fold for r in docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id, text, 5), {lang_id.FOLDS}) AS fold").collect()}
+    fold = np.array([fold[k] for k in range(len(texts))])
+    vectors = lambda rows: lang_id.weigh(lang_id.counts(pa.array(rows, pa.string())), model.idf)
+    x = vectors(texts)
+    mean = lambda v: v.sum(axis=0) / np.linalg.norm(v.sum(axis=0))
+    assert np.allclose(model.centroids, [mean(x)], atol=1e-5)
+    without = [mean(x[fold != f]) for f in range(lang_id.FOLDS)]
+    cosines = {}
+    for cut in (*lang_id.CUTS, 1 << 30):
+        own = [k for k, t in enumerate(texts) if cut == 1 << 30 or len(t) > cut]
+        part = [texts[k][:cut] for k in own]
+        n = lang_id.counts(pa.array(part, pa.string())).sum(axis=1) if part else []
+        for k, v, size in zip(own, vectors(part) if part else [], n, strict=True):
+            cosines.setdefault(int(np.searchsorted(lang_id.EDGES, size, side="right")), []).append(float(v @ without[fold[k]]))
+    for band, found in cosines.items():
+        assert abs(model.limits[0][band] - lang_id.MARGIN * np.quantile(found, lang_id.QUANTILE)) < 1e-4
+
+
+def test_counts_are_packed_in_full():
+    tf = np.zeros((3, lang_id.DIMS), dtype=np.float32)
+    tf[0, [0, 7, 4095]], tf[2, 5:9] = [1, 255, 70_000], [254, 255, 256, 3]
+    batch = pa.RecordBatch.from_arrays(lang_id.pack(tf), names=["bits", "low", "over"])
+    for part, own in ((batch, tf), (batch.slice(2, 1), tf[2:]), (batch.slice(1, 1), tf[1:2])):
+        some, used = lang_id.unpack(part, lang_id.DIMS)
+        assert (some == (own > 0)).all() and (used == own[own > 0]).all()
+
+
 def test_licence_probabilities_by_hand(spark):
     rng = random.Random(4)
     corpus = [prose(rng, 40) + "\nthe licence of this song is unknown to me" for _ in range(40)]
